@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from courierlake import config
 from courierlake.functions.ranges import window_of
 from courierlake.session import scratch_path, table_path
+from courierlake.sources.landed import parse_documents
+from courierlake.sources.tables import read_table
 
 # Movements of one customer are landed in pages of at most this many event ids,
 # so no document (and no group that builds one) grows with a hot customer.
-PAGE_EVENTS = 500
+PAGE_EVENTS = 50_000
 
 # Position of an outcome code among these is l_partkey % 23: 0..20 pick a
 # code, 21 an unknown code, 22 a NULL code.
@@ -31,8 +33,15 @@ CODE_LIST = list(config.OUTCOME_LABELS)
 UNKNOWN_CODE = "unknown-code"
 
 
+# Key each driver table is spread on when its scan is narrow (see
+# courierlake.sources.tables): lineitem and orders share the order key, so
+# the visit fixture joins them without another exchange.
+TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
+              "part": "p_partkey", "events": "event_id"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return read_table(spark, table_path(sf_dir, name), TABLE_KEYS.get(name))
 
 
 def _s(c: Column) -> Column:
@@ -311,6 +320,16 @@ def tracking_documents(customer: DataFrame, events: DataFrame) -> DataFrame:
                     F.when(k % 17 == 5, 500).otherwise(200).alias("http_status"), body.alias("body"))
 
 
+def land_documents(spark: SparkSession, customer: DataFrame, events: DataFrame,
+                   root: str | None = None) -> str:
+    """Write the tracking documents as the lookup lands them (one row per
+    response: ``guia, page, http_status, body`` plus the body parsed once
+    into the VARIANT ``doc``) below the checkpoint folder; returns the path."""
+    root = root or scratch_path(spark, "documents")
+    parse_documents(tracking_documents(customer, events)).write.mode("overwrite").parquet(root)
+    return root
+
+
 # --- export feed ----------------------------------------------------------------------
 
 def export_bounds(orders: DataFrame) -> tuple:
@@ -389,7 +408,9 @@ def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None
     ``Telefono`` column. Returns the root path (below the checkpoint folder)."""
     root = root or scratch_path(spark, "exports")
     run_date, floor = export_bounds(orders)
-    rows = export_rows(orders, run_date, floor)
+    # Rebalance on the window so each window lands as few files (AQE splits a
+    # large window and packs small ones) instead of one file per task per window.
+    rows = export_rows(orders, run_date, floor).hint("rebalance", "window_start")
     without = rows.where(F.col("window_seq") % 4 == 1).drop("Telefono", "window_seq")
     with_tel = rows.where(F.col("window_seq") % 4 != 1).drop("window_seq")
     with_tel.write.mode("overwrite").partitionBy("window_start").parquet(root)

@@ -28,6 +28,10 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a
+    # larger whole-stage method would run interpreted. At 8000 Spark falls back
+    # to per-operator codegen for such a subtree instead (Spark's own advice).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -59,23 +59,31 @@ def read_dated_json(raw: DataFrame, item_schema: T.StructType, keep: list[str] |
         .select(*[F.col(q(k)) for k in keep], "__it.*")
 
 
+def parse_documents(raw: DataFrame, body: str = "body", doc: str = "doc") -> DataFrame:
+    """Add the parsed document as a VARIANT column (NULL for malformed text).
+
+    Meant for the landing write: a landed table that stores ``doc`` is parsed
+    exactly once, and every reader takes its paths from the binary variant."""
+    return raw.withColumn(doc, F.try_parse_json(F.col(body)))
+
+
 def gate_documents(raw: DataFrame, body: str = "body", status: str = "http_status",
                    doc: str = "doc") -> tuple[DataFrame, DataFrame]:
     """Split keyed documents into (usable, rejected).
 
     Usable: non-error status (< 400), the body parses, and it is a non-empty
-    JSON object. The body is parsed once into a VARIANT column ``doc`` from
-    which every later path is read.
+    JSON object. If ``raw`` already carries the parsed ``doc`` VARIANT (see
+    :func:`parse_documents`) it is used as is; otherwise the body is parsed
+    here (and Catalyst may repeat that parse inside the pushed-down gate
+    filter, so landing the VARIANT is the fast path).
     """
-    v = F.try_parse_json(F.col(body))
-    marked = raw.withColumn(doc, v)
+    marked = raw if doc in raw.columns else parse_documents(raw, body, doc)
     n_keys = F.size(F.try_variant_get(F.col(doc), "$", "map<string,variant>"))
+    usable = marked.where((F.col(status) < 400) & (n_keys > 0)).drop(body)
     reason = (F.when(F.col(status) >= 400, F.lit("status"))
-              .when(F.col(doc).isNull() | n_keys.isNull(), F.lit("malformed"))
+              .when(n_keys.isNull(), F.lit("malformed"))
               .when(n_keys == 0, F.lit("empty")))
-    marked = marked.withColumn("reason", reason)
-    usable = marked.where(F.col("reason").isNull()).drop("reason", body)
-    rejected = marked.where(F.col("reason").isNotNull()).drop(doc, body)
+    rejected = marked.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop(doc, body)
     return usable, rejected
 
 
