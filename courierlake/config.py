@@ -180,3 +180,7 @@ EXPORT_TEXT_COLUMNS = [
 # date while the window start is not before EXPORT_FLOOR.
 EXPORT_WINDOW_DAYS = 31
 EXPORT_FLOOR = "2023-07-01"
+
+# A window's export is usable only with status 200 and this content type.
+EXPORT_OK_STATUS = 200
+EXPORT_CONTENT_TYPE = "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"

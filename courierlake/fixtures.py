@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake import config
-from courierlake.functions.ranges import window_of
+from courierlake.functions.ranges import backward_windows, window_of
 from courierlake.session import scratch_path, table_path
 from courierlake.sources.landed import parse_documents
 from courierlake.sources.tables import read_table
@@ -402,10 +402,24 @@ def export_rows(orders: DataFrame, run_date, floor) -> DataFrame:
                        start.alias("window_start"))
 
 
+def export_manifest(orders: DataFrame, run_date, floor) -> DataFrame:
+    """One response row per requested window: status 500 for every 9th
+    window, an HTML page for every 11th, a spreadsheet otherwise."""
+    bounds = orders.sparkSession.createDataFrame([(run_date, floor)], "run_date date, floor date")
+    w = backward_windows(bounds)
+    k = F.col("window_seq")
+    return w.select("window_start", "window_end",
+                    F.when(k % 9 == 8, 500).otherwise(200).alias("http_status"),
+                    F.when(k % 11 == 10, F.lit("text/html; charset=UTF-8"))
+                    .otherwise(F.lit(config.EXPORT_CONTENT_TYPE)).alias("content_type"))
+
+
 def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None) -> str:
-    """Write the export windows as the export feed lands them: Parquet files
-    under ``window_start=<date>/``; every 4th window's sheet has no
-    ``Telefono`` column. Returns the root path (below the checkpoint folder)."""
+    """Land the export feed below the checkpoint folder and return its root:
+    ``root/data`` holds Parquet files under ``window_start=<date>/`` (every
+    4th window's sheet has no ``Telefono`` column); ``root/manifest`` holds
+    the response of every requested window. Files of every window are
+    present (as left by earlier runs); the manifest says which are usable."""
     root = root or scratch_path(spark, "exports")
     run_date, floor = export_bounds(orders)
     # Rebalance on the window so each window lands as few files (AQE splits a
@@ -413,6 +427,7 @@ def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None
     rows = export_rows(orders, run_date, floor).hint("rebalance", "window_start")
     without = rows.where(F.col("window_seq") % 4 == 1).drop("Telefono", "window_seq")
     with_tel = rows.where(F.col("window_seq") % 4 != 1).drop("window_seq")
-    with_tel.write.mode("overwrite").partitionBy("window_start").parquet(root)
-    without.write.mode("append").partitionBy("window_start").parquet(root)
+    with_tel.write.mode("overwrite").partitionBy("window_start").parquet(f"{root}/data")
+    without.write.mode("append").partitionBy("window_start").parquet(f"{root}/data")
+    export_manifest(orders, run_date, floor).write.mode("overwrite").parquet(f"{root}/manifest")
     return root

@@ -256,7 +256,7 @@ SELECT
   '150101' AS Ubigeo_Origen,
   '1501' || lpad(CAST(o_custkey % 43 AS VARCHAR), 2, '0') AS Ubigeo_Destino,
   CASE WHEN o_orderkey % 2 = 0 THEN 'WEB' ELSE 'APP' END AS Canal
-FROM w WHERE k <= kmax
+FROM w WHERE k <= kmax AND k % 9 <> 8 AND k % 11 <> 10
 """
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.operators.shape import cast_text, drop_empty_columns, normalise_headers
-from courierlake.sources.landed import read_exports
+from courierlake.sources.landed import gate_exports, read_exports
 
 
 def consolidate(exports: DataFrame, window_col: str = "window_start") -> DataFrame:
@@ -27,4 +27,10 @@ def consolidate(exports: DataFrame, window_col: str = "window_start") -> DataFra
 
 
 def consolidated_export(spark: SparkSession, root: str, window_col: str = "window_start") -> DataFrame:
-    return consolidate(read_exports(spark, root, window_col=window_col), window_col)
+    """Consolidate the landed export under ``root``: ``root/data`` holds the
+    windows (``window_start=<date>/``), ``root/manifest`` one response row per
+    requested window; windows whose response was not a spreadsheet are left
+    out (as the feed skips them)."""
+    exports = read_exports(spark, f"{root}/data", window_col=window_col)
+    manifest = spark.read.parquet(f"{root}/manifest")
+    return consolidate(gate_exports(exports, manifest, window_col), window_col)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courierlake import config
 from courierlake.operators.shape import q
 
 # --- S5: response gates ---------------------------------------------------------
@@ -134,6 +135,22 @@ def read_exports(spark: SparkSession, root: str, fmt: str = "parquet",
     return reader.format(fmt).load(root)
 
 
+def usable_windows(manifest: DataFrame, window_col: str = "window_start") -> DataFrame:
+    """S5 for exports: windows whose response had status 200 and the
+    spreadsheet content type (one manifest row per requested window)."""
+    ok = (F.col("http_status") == config.EXPORT_OK_STATUS) & \
+        F.col("content_type").contains(config.EXPORT_CONTENT_TYPE)
+    return manifest.where(ok).select(window_col).distinct()
+
+
+def gate_exports(exports: DataFrame, manifest: DataFrame, window_col: str = "window_start") -> DataFrame:
+    """Rows of usable windows only. A left-semi join on the partition column:
+    the manifest side is one row per window, so Spark broadcasts it and prunes
+    the export partitions of unusable windows at the scan (dynamic partition
+    pruning); stale files of a failed window are never read."""
+    return exports.join(usable_windows(manifest, window_col), on=window_col, how="left_semi")
+
+
 def read_export_files(spark: SparkSession, paths: dict, fmt: str = "csv",
                       window_col: str = "window_seq",
                       options: dict[str, str] | None = None) -> list[DataFrame]:

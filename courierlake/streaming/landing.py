@@ -22,23 +22,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from courierlake.schemas import DATED_RESPONSE, DOCUMENT_RESPONSE
 from courierlake.session import ensure_checkpoint_dir
 from courierlake.sources.landed import parse_documents, read_dated_json
 
-DOCUMENT_RESPONSE = T.StructType([
-    T.StructField("guia", T.StringType()),
-    T.StructField("page", T.LongType()),
-    T.StructField("http_status", T.IntegerType()),
-    T.StructField("body", T.StringType()),
-])
-
-DATED_RESPONSE = T.StructType([
-    T.StructField("endpoint", T.StringType()),
-    T.StructField("planned_date", T.DateType()),
-    T.StructField("http_status", T.IntegerType()),
-    T.StructField("body", T.StringType()),
-])
-
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/courierlake-streams/{name}"

@@ -24,3 +24,9 @@ def rows(df, *cols):
     """Sorted list of tuples of ``cols`` (all columns if none given)."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def explain(df, mode="formatted"):
+    """The plan text ``df.explain(mode)`` would print."""
+    jvm = df.sparkSession._jvm
+    return df._jdf.queryExecution().explainString(jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
