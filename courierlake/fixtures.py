@@ -33,15 +33,19 @@ CODE_LIST = list(config.OUTCOME_LABELS)
 UNKNOWN_CODE = "unknown-code"
 
 
-# Key each driver table is spread on when its scan is narrow (see
-# courierlake.sources.tables): lineitem and orders share the order key, so
-# the visit fixture joins them without another exchange.
+# Key each driver table is spread on when a query asks for it and the scan is
+# narrow (see courierlake.sources.tables): lineitem and orders share the order
+# key, so the visit fixture joins them without another exchange.
 TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
               "part": "p_partkey", "events": "event_id"}
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, table_path(sf_dir, name), TABLE_KEYS.get(name))
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread=True`` for inputs that feed heavy per-row work
+    or a join on their key before the first shuffle; a plain scan followed by
+    an aggregate or a cheap projection is better left as it is."""
+    path = table_path(sf_dir, name)
+    return read_table(spark, path, TABLE_KEYS.get(name)) if spread else spark.read.parquet(path)
 
 
 def _s(c: Column) -> Column:

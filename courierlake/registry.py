@@ -38,8 +38,8 @@ PIVOT_CODES = ["click", "purchase", "view", "error", "signup"]
 PIVOT_RENAMES = {"click": "fecha_click", "purchase": "fecha_purchase", "view": "fecha_view"}
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return fx.load(spark, sf_dir, name)
+def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return fx.load(spark, sf_dir, name, spread)
 
 
 # Landed fixture paths per (application, sf_dir, feed). Landing is a function
@@ -52,7 +52,8 @@ def landed(spark: SparkSession, sf_dir: str, feed: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, feed)
     if key not in _LANDED:
         if feed == "documents":
-            _LANDED[key] = fx.land_documents(spark, _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "events"))
+            _LANDED[key] = fx.land_documents(spark, _t(spark, sf_dir, "customer"),
+                                             _t(spark, sf_dir, "events", spread=True))
         elif feed == "exports":
             _LANDED[key] = fx.land_exports(spark, _t(spark, sf_dir, "orders"))
         else:
@@ -67,13 +68,14 @@ def q01_key_selection(spark, sf_dir):
 
 def q02_json_feed(spark, sf_dir):
     """Gate the dated pages, parse, explode, flatten."""
-    rows = read_dated_json(fx.json_feed(_t(spark, sf_dir, "events")), FEED_ITEM, keep=["planned_date"])
+    rows = read_dated_json(fx.json_feed(_t(spark, sf_dir, "events", spread=True)), FEED_ITEM,
+                           keep=["planned_date"])
     return flatten(rows, sep="_")
 
 
 def q02b_feed_rejects(spark, sf_dir):
     """The responses the gate turned away, with the reason."""
-    _, rejected = gate_dated(fx.json_feed(_t(spark, sf_dir, "events")), FEED_ITEM)
+    _, rejected = gate_dated(fx.json_feed(_t(spark, sf_dir, "events", spread=True)), FEED_ITEM)
     return rejected.select("endpoint", "planned_date", "http_status", "reason")
 
 
@@ -97,8 +99,9 @@ def q04_vehicle_dimension(spark, sf_dir):
 
 def _mart(spark, sf_dir, account):
     return visit_mart(fx.vehicles_raw(_t(spark, sf_dir, "customer")),
-                      fx.routes_raw(_t(spark, sf_dir, "orders")),
-                      fx.visits_raw(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders")),
+                      fx.routes_raw(_t(spark, sf_dir, "orders", spread=True)),
+                      fx.visits_raw(_t(spark, sf_dir, "lineitem", spread=True),
+                                    _t(spark, sf_dir, "orders", spread=True)),
                       account=account)
 
 
@@ -119,7 +122,7 @@ def q07_movement_history(spark, sf_dir):
 
 def q08_stamp_parse(spark, sf_dir):
     """Date text + ' ' + time text, exact-format parse."""
-    t = fx.split_times(_t(spark, sf_dir, "events"))
+    t = fx.split_times(_t(spark, sf_dir, "events", spread=True))
     return t.select("event_id", parse_stamp(join_text("fecha", "hora")).alias("movimiento_fecha"))
 
 
