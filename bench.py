@@ -3,8 +3,8 @@ and print one JSON line.
 
 Each query is built and fully materialised with the ``noop`` sink (every
 row and column is computed, nothing is collected to the driver). The feeds
-that are landed as files (tracking documents, export windows) are landed
-once first and timed as their own entries (``land_documents``,
+that are landed as files (tracking documents, export windows, routing pages) are landed
+once first and timed as their own entries (``land_documents``, ``land_routing``,
 ``land_exports``); one untimed warm-up pass over all queries then compiles
 the generated code, and each query is timed ``$BENCH_REPEAT`` times
 (default 3), reporting the median.
@@ -37,7 +37,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="courierlake-bench", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
     times = {}
-    for feed in ("documents", "exports"):
+    for feed in ("documents", "exports", "routing"):
         t0 = time.perf_counter()
         landed(spark, sf_dir, feed)
         times[f"land_{feed}"] = round(time.perf_counter() - t0, 3)

@@ -183,6 +183,38 @@ def json_feed(events: DataFrame) -> DataFrame:
                          body.alias("body"))
 
 
+def routing_pages(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Landed responses of the routing feed's three endpoints
+    (``endpoint, planned_date, http_status, body``): one page per vehicle,
+    route and visit, each a JSON array with one object. Vehicles are listed on
+    three fetch days (1998-01-01..03); routes and visits on their planned day.
+    NULL fields are left out of the object, as the feed omits them."""
+    def pages(df: DataFrame, endpoint: str, day: Column) -> DataFrame:
+        obj = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+        return df.select(F.lit(endpoint).alias("endpoint"), day.alias("planned_date"),
+                         F.lit(200).alias("http_status"), F.concat(F.lit("["), obj, F.lit("]")).alias("body"))
+
+    veh = vehicles_raw(customer)
+    rts = routes_raw(orders).drop("copy_no")
+    vis = visits_raw(lineitem, orders)
+    return pages(veh, "vehicles", F.date_add(F.lit("1998-01-01").cast("date"), F.col("fetch_day"))) \
+        .unionByName(pages(rts, "routes", F.col("planned_date"))) \
+        .unionByName(pages(vis, "visits", F.col("planned_date")))
+
+
+def land_routing_pages(spark: SparkSession, customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
+                       root: str | None = None) -> str:
+    """Write the routing pages below the checkpoint folder, partitioned by
+    endpoint and clustered by day inside each file (so a day-range predicate
+    skips row groups); returns the path."""
+    root = root or scratch_path(spark, "routing-pages")
+    # Rebalance (AQE splits a hot day, packs small ones), then cluster by day.
+    routing_pages(customer, orders, lineitem).hint("rebalance", "endpoint", "planned_date") \
+        .sortWithinPartitions("endpoint", "planned_date") \
+        .write.mode("overwrite").partitionBy("endpoint").parquet(root)
+    return root
+
+
 # --- tracking feed --------------------------------------------------------------------
 
 def tracking_number(custkey: Column) -> Column:

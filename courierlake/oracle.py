@@ -108,14 +108,22 @@ VISIT_EXPR = {
 }
 
 
-def visit_mart_sql(account: int) -> str:
+def visit_mart_sql(account: int, text_dates: bool = False) -> str:
+    """The visit mart; ``text_dates`` keeps planned dates as ISO text (the
+    feed's JSON pages carry them as text)."""
     cols = config.VISIT_COLUMNS_ACCOUNT_1 if account == 1 else config.VISIT_COLUMNS_ACCOUNT_2
     names = ["order_visit" if c == "order" else c for c in cols]
-    vis = ",\n  ".join(f"{VISIT_EXPR[n]} AS {n}" for n in names)
+    expr = dict(VISIT_EXPR)
+    routes = ROUTES_SQL
+    if text_dates:
+        expr["planned_date"] = "strftime(o_orderdate, '%Y-%m-%d')"
+        routes = routes.replace("CAST(o_orderdate AS DATE) AS planned_date",
+                                "strftime(o_orderdate, '%Y-%m-%d') AS planned_date")
+    vis = ",\n  ".join(f"{expr[n]} AS {n}" for n in names)
     keys = " AND ".join(f"vis.{k} IS NOT DISTINCT FROM rv.{k}" for k in config.VISIT_ROUTE_KEYS)
     return f"""
 WITH veh AS ({VEHICLES_SQL}),
-rts AS ({ROUTES_SQL}),
+rts AS ({routes}),
 rv AS (SELECT r.*, v.name, v.color FROM rts r JOIN veh v ON r.vehicle IS NOT DISTINCT FROM v.vehicle),
 vis AS (
   SELECT {vis}
@@ -282,6 +290,7 @@ FROM events WHERE event_id % 10 < 4
     "q03_key_lookup": KEY_LOOKUP_SQL,
     "q04_vehicle_dimension": VEHICLES_SQL,
     "q05_visit_mart": visit_mart_sql(1),
+    "q05b_visit_mart_from_pages": visit_mart_sql(1, text_dates=True),
     "q06_visit_mart_account2": visit_mart_sql(2),
     "q07_movement_history": HISTORY_SQL,
     "q08_stamp_parse": """

@@ -22,7 +22,7 @@ from courierlake.operators.sinks import replace_table
 from courierlake.plans.export_consolidation import consolidated_export
 from courierlake.plans.movement_history import (latest_per_code, movement_history, tracking_keys,
                                                 usable_documents)
-from courierlake.plans.visit_mart import clean_vehicles, visit_mart
+from courierlake.plans.visit_mart import clean_vehicles, visit_mart, visit_mart_from_pages
 from courierlake.session import scratch_path
 from courierlake.sources.landed import gate_dated, read_dated_json, select_keys
 
@@ -54,6 +54,10 @@ def landed(spark: SparkSession, sf_dir: str, feed: str) -> str:
         if feed == "documents":
             _LANDED[key] = fx.land_documents(spark, _t(spark, sf_dir, "customer"),
                                              _t(spark, sf_dir, "events", spread=True))
+        elif feed == "routing":
+            _LANDED[key] = fx.land_routing_pages(spark, _t(spark, sf_dir, "customer"),
+                                                 _t(spark, sf_dir, "orders", spread=True),
+                                                 _t(spark, sf_dir, "lineitem", spread=True))
         elif feed == "exports":
             _LANDED[key] = fx.land_exports(spark, _t(spark, sf_dir, "orders"))
         else:
@@ -110,6 +114,14 @@ def q05_visit_mart(spark, sf_dir):
     return _mart(spark, sf_dir, 1)
 
 
+def q05b_visit_mart_from_pages(spark, sf_dir):
+    """E1 as the feed runs it: landed JSON pages of the three endpoints ->
+    day-range read (R1) -> gate + parse with declared schemas (S1/S5) ->
+    visit mart. Planned dates stay ISO text, as in the feed."""
+    pages = spark.read.parquet(landed(spark, sf_dir, "routing"))
+    return visit_mart_from_pages(pages, account=1, start="1990-01-01", end="2030-12-31")
+
+
 def q06_visit_mart_account2(spark, sf_dir):
     """E1, account 2 column list."""
     return _mart(spark, sf_dir, 2)
@@ -182,6 +194,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q03_key_lookup": q03_key_lookup,
     "q04_vehicle_dimension": q04_vehicle_dimension,
     "q05_visit_mart": q05_visit_mart,
+    "q05b_visit_mart_from_pages": q05b_visit_mart_from_pages,
     "q06_visit_mart_account2": q06_visit_mart_account2,
     "q07_movement_history": q07_movement_history,
     "q08_stamp_parse": q08_stamp_parse,

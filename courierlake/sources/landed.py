@@ -51,12 +51,15 @@ def read_dated_json(raw: DataFrame, item_schema: T.StructType, keep: list[str] |
     """One row per object of every usable dated response, in the declared
     ``item_schema``, with the ``keep`` envelope columns (e.g. ``planned_date``).
 
-    Date order is irrelevant to the result (it is a multiset), so landed pages
-    are read in whatever order the scan splits them.
+    The gate is folded into the generator: the explode runs over the parsed
+    array only for status 200 and array-shaped text, and a NULL (malformed)
+    or empty array yields no row. No filter references the parse, so Catalyst
+    has nothing to push below it and each body is parsed exactly once. Date
+    order is irrelevant to the result (it is a multiset).
     """
     keep = keep or []
-    usable, _ = gate_dated(raw, item_schema, body=body, status=status)
-    return usable.select(*[F.col(q(k)) for k in keep], F.explode("__items").alias("__it")) \
+    items = F.when(F.col(status) == 200, _array_body(F.col(body), item_schema))
+    return raw.select(*[F.col(q(k)) for k in keep], F.explode(items).alias("__it")) \
         .select(*[F.col(q(k)) for k in keep], "__it.*")
 
 
