@@ -208,9 +208,12 @@ def land_routing_pages(spark: SparkSession, customer: DataFrame, orders: DataFra
     endpoint and clustered by day inside each file (so a day-range predicate
     skips row groups); returns the path."""
     root = root or scratch_path(spark, "routing-pages")
-    # Rebalance (AQE splits a hot day, packs small ones), then cluster by day.
-    routing_pages(customer, orders, lineitem).hint("rebalance", "endpoint", "planned_date") \
-        .sortWithinPartitions("endpoint", "planned_date") \
+    # Range-partition on (endpoint, day, row hash): files cover contiguous
+    # days (row groups skip by day) and a hot day is still split by the hash.
+    pages = routing_pages(customer, orders, lineitem)
+    pages.withColumn("__h", F.xxhash64("body")) \
+        .repartitionByRange(landing_files(spark), "endpoint", "planned_date", "__h") \
+        .sortWithinPartitions("endpoint", "planned_date").drop("__h") \
         .write.mode("overwrite").partitionBy("endpoint").parquet(root)
     return root
 
@@ -356,13 +359,22 @@ def tracking_documents(customer: DataFrame, events: DataFrame) -> DataFrame:
                     F.when(k % 17 == 5, 500).otherwise(200).alias("http_status"), body.alias("body"))
 
 
+def landing_files(spark: SparkSession) -> int:
+    """Files a landing write produces: enough for every core to read one.
+    (AQE would coalesce a small landing into one file, whose single row group
+    is then read by one task however CPU-heavy the rows are.)"""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def land_documents(spark: SparkSession, customer: DataFrame, events: DataFrame,
                    root: str | None = None) -> str:
     """Write the tracking documents as the lookup lands them (one row per
     response: ``guia, page, http_status, body`` plus the body parsed once
     into the VARIANT ``doc``) below the checkpoint folder; returns the path."""
     root = root or scratch_path(spark, "documents")
-    parse_documents(tracking_documents(customer, events)).write.mode("overwrite").parquet(root)
+    # Hash on (key, page): the pages of a hot key spread over several files.
+    parse_documents(tracking_documents(customer, events)) \
+        .repartition(landing_files(spark), "guia", "page").write.mode("overwrite").parquet(root)
     return root
 
 

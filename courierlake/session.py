@@ -26,6 +26,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Small inputs are split by bytes-per-core instead of being packed into a
+    # few 4 MB splits; at scale splits are capped by maxPartitionBytes anyway.
+    "spark.sql.files.openCostInBytes": "512k",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a

@@ -63,12 +63,20 @@ def read_dated_json(raw: DataFrame, item_schema: T.StructType, keep: list[str] |
         .select(*[F.col(q(k)) for k in keep], "__it.*")
 
 
+def _object_size(doc: Column) -> Column:
+    """Number of top-level keys of a VARIANT object; NULL if not an object."""
+    return F.size(F.try_variant_get(doc, "$", "map<string,variant>"))
+
+
 def parse_documents(raw: DataFrame, body: str = "body", doc: str = "doc") -> DataFrame:
-    """Add the parsed document as a VARIANT column (NULL for malformed text).
+    """Add the parsed document as a VARIANT column (NULL for malformed text)
+    and its number of top-level keys (``<doc>_keys``, NULL if not an object).
 
-    Meant for the landing write: a landed table that stores ``doc`` is parsed
-    exactly once, and every reader takes its paths from the binary variant."""
-    return raw.withColumn(doc, F.try_parse_json(F.col(body)))
+    Meant for the landing write: a landed table that stores both is parsed
+    and sized exactly once; readers gate on the plain key count (a Parquet
+    filter) and take their paths from the binary variant."""
+    parsed = raw.withColumn(doc, F.try_parse_json(F.col(body)))
+    return parsed.withColumn(f"{doc}_keys", _object_size(F.col(doc)))
 
 
 def gate_documents(raw: DataFrame, body: str = "body", status: str = "http_status",
@@ -82,12 +90,14 @@ def gate_documents(raw: DataFrame, body: str = "body", status: str = "http_statu
     filter, so landing the VARIANT is the fast path).
     """
     marked = raw if doc in raw.columns else parse_documents(raw, body, doc)
-    n_keys = F.size(F.try_variant_get(F.col(doc), "$", "map<string,variant>"))
-    usable = marked.where((F.col(status) < 400) & (n_keys > 0)).drop(body)
+    keys_col = f"{doc}_keys"
+    n_keys = F.col(keys_col) if keys_col in marked.columns else _object_size(F.col(doc))
+    usable = marked.where((F.col(status) < 400) & (n_keys > 0)).drop(body, keys_col)
     reason = (F.when(F.col(status) >= 400, F.lit("status"))
               .when(n_keys.isNull(), F.lit("malformed"))
               .when(n_keys == 0, F.lit("empty")))
-    rejected = marked.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop(doc, body)
+    rejected = marked.withColumn("reason", reason).where(F.col("reason").isNotNull()) \
+        .drop(doc, body, keys_col)
     return usable, rejected
 
 
