@@ -208,12 +208,13 @@ def land_routing_pages(spark: SparkSession, customer: DataFrame, orders: DataFra
     endpoint and clustered by day inside each file (so a day-range predicate
     skips row groups); returns the path."""
     root = root or scratch_path(spark, "routing-pages")
-    # Range-partition on (endpoint, day, row hash): files cover contiguous
-    # days (row groups skip by day) and a hot day is still split by the hash.
-    pages = routing_pages(customer, orders, lineitem)
-    pages.withColumn("__h", F.xxhash64("body")) \
-        .repartitionByRange(landing_files(spark), "endpoint", "planned_date", "__h") \
-        .sortWithinPartitions("endpoint", "planned_date").drop("__h") \
+    # Hash on (endpoint, day, body): a hot day is spread over all files, and
+    # sorting inside each file keeps its row groups day-ordered, so a
+    # day-range predicate still skips row groups. (A range partitioning would
+    # compute the pages twice: once to sample the boundaries.)
+    routing_pages(customer, orders, lineitem) \
+        .repartition(landing_files(spark), "endpoint", "planned_date", "body") \
+        .sortWithinPartitions("endpoint", "planned_date") \
         .write.mode("overwrite").partitionBy("endpoint").parquet(root)
     return root
 

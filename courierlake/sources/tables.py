@@ -20,10 +20,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-partition a narrow input on ``key``; leave a wide input alone."""
+    """Hash-partition a narrow input on ``key``; leave a wide input alone.
+
+    Narrow means fewer input files than cores. (The number of planned splits
+    is no guide: a small file with one row group is planned as several splits
+    of which only one holds rows.) Listing the files is the metadata step the
+    scan performs anyway."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if len(df.inputFiles()) >= cores:
         return df
     n = shuffle_partitions(spark)
     return df.repartition(n, key) if key else df.repartition(n)
