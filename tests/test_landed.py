@@ -71,3 +71,17 @@ def test_read_table_spreads_narrow_scan(spark):
     assert df.count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
     assert "hashpartitioning(o_orderkey" in df._jdf.queryExecution().executedPlan().toString()
     assert df.where(F.col("o_orderkey") < 5).count() == 5
+
+
+def test_spread_leaves_wide_inputs_alone(spark, tmp_path):
+    from courierlake.sources.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    wide = str(tmp_path / "wide")
+    spark.range(0, 1000, numPartitions=cores * 2).write.parquet(wide)
+    df = spark.read.parquet(wide)
+    assert len(df.inputFiles()) >= cores
+    assert spread(df, "id") is df
+    narrow = str(tmp_path / "narrow")
+    spark.range(0, 1000, numPartitions=1).write.parquet(narrow)
+    assert "hashpartitioning(id" in spread(spark.read.parquet(narrow), "id")._jdf.queryExecution() \
+        .executedPlan().toString()
