@@ -31,6 +31,6 @@ def consolidated_export(spark: SparkSession, root: str, window_col: str = "windo
     windows (``window_start=<date>/``), ``root/manifest`` one response row per
     requested window; windows whose response was not a spreadsheet are left
     out (as the feed skips them)."""
-    exports = read_exports(spark, f"{root}/data", window_col=window_col)
+    exports = read_exports(spark, f"{root}/data")
     manifest = spark.read.parquet(f"{root}/manifest")
     return consolidate(gate_exports(exports, manifest, window_col), window_col)

@@ -135,8 +135,7 @@ def lookup_documents(keys: DataFrame, docs: DataFrame, key_col: str = "tracking"
 
 # --- S3: landed exports ---------------------------------------------------------------
 
-def read_exports(spark: SparkSession, root: str, fmt: str = "parquet",
-                 window_col: str = "window_start") -> DataFrame:
+def read_exports(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """Every landed export window under ``root`` (``<window_col>=<date>/``).
 
     Windows may differ in their header set; the Parquet footers are merged by
