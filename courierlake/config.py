@@ -181,6 +181,14 @@ EXPORT_TEXT_COLUMNS = [
 EXPORT_WINDOW_DAYS = 31
 EXPORT_FLOOR = "2023-07-01"
 
+# Loaded types of the eight sheet columns that are not forced to text (all
+# other headers are read as text from delimited files).
+EXPORT_TYPED_HEADERS = {
+    "Fecha": "timestamp_ntz", "Fecha de Entrega": "timestamp_ntz", "Fecha Visita1": "timestamp_ntz",
+    "Fecha Visita2": "timestamp_ntz", "Fecha Visita3": "timestamp_ntz", "Fecha Visita4": "timestamp_ntz",
+    "Contador Visitas": "bigint", "Fecha Recojo": "timestamp_ntz",
+}
+
 # A window's export is usable only with status 200 and this content type.
 EXPORT_OK_STATUS = 200
 EXPORT_CONTENT_TYPE = "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"

@@ -463,6 +463,30 @@ def export_manifest(orders: DataFrame, run_date, floor) -> DataFrame:
                     .otherwise(F.lit(config.EXPORT_CONTENT_TYPE)).alias("content_type"))
 
 
+def land_exports_csv(spark: SparkSession, orders: DataFrame, root: str | None = None) -> str:
+    """The export feed as delimited files: ``root/data/window_start=<date>/``
+    holds CSV with a header line per file (every 4th window's sheet has no
+    ``Telefono`` column); ``root/manifest`` holds each window's response and
+    its header (the landing records what it wrote)."""
+    root = root or scratch_path(spark, "exports-csv")
+    run_date, floor = export_bounds(orders)
+    rows = export_rows(orders, run_date, floor).hint("rebalance", "window_start")
+    parts = {True: rows.where(F.col("window_seq") % 4 == 1).drop("Telefono"),
+             False: rows.where(F.col("window_seq") % 4 != 1)}
+    headers = {}
+    for i, (short, df) in enumerate(parts.items()):
+        df = df.drop("window_seq")
+        headers[short] = [c for c in df.columns if c != "window_start"]
+        df.write.mode("overwrite" if i == 0 else "append").partitionBy("window_start") \
+            .option("header", "true").csv(f"{root}/data")
+    man = export_manifest(orders, run_date, floor)
+    seq = F.datediff(F.lit(run_date).cast("date"), F.col("window_end")) / 31
+    man = man.withColumn("header", F.when(seq % 4 == 1, F.array(*[F.lit(h) for h in headers[True]]))
+                         .otherwise(F.array(*[F.lit(h) for h in headers[False]])))
+    man.write.mode("overwrite").parquet(f"{root}/manifest")
+    return root
+
+
 def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None) -> str:
     """Land the export feed below the checkpoint folder and return its root:
     ``root/data`` holds Parquet files under ``window_start=<date>/`` (every

@@ -309,6 +309,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 FROM orders
 """,
     "q12_export_consolidation": EXPORT_SQL,
+    "q12b_export_consolidation_csv": EXPORT_SQL,
     "q13_daily_spine": """
 SELECT CAST(g AS DATE) AS day, strftime(CAST(g AS DATE), '%Y-%m-%d') AS day_text
 FROM (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events) b,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.operators.shape import cast_text, drop_empty_columns, normalise_headers
-from courierlake.sources.landed import gate_exports, read_exports
+from courierlake.sources.landed import gate_exports, read_delimited_exports, read_exports
 
 
 def consolidate(exports: DataFrame, window_col: str = "window_start") -> DataFrame:
@@ -34,3 +34,13 @@ def consolidated_export(spark: SparkSession, root: str, window_col: str = "windo
     exports = read_exports(spark, f"{root}/data")
     manifest = spark.read.parquet(f"{root}/manifest")
     return consolidate(gate_exports(exports, manifest, window_col), window_col)
+
+
+def consolidated_delimited_export(spark: SparkSession, root: str,
+                                  window_col: str = "window_start") -> DataFrame:
+    """As :func:`consolidated_export`, for windows landed as delimited files
+    with a header each (``root/data``) and a manifest that records every
+    window's response and header (``root/manifest``)."""
+    manifest = spark.read.parquet(f"{root}/manifest")
+    exports = read_delimited_exports(spark, f"{root}/data", manifest, window_col)
+    return consolidate(gate_exports(exports, manifest, window_col), window_col)

@@ -19,7 +19,7 @@ from courierlake.functions.ranges import backward_windows, date_spine
 from courierlake.functions.values import join_text, label_codes, parse_stamp
 from courierlake.operators.shape import cast_text, flatten
 from courierlake.operators.sinks import replace_table
-from courierlake.plans.export_consolidation import consolidated_export
+from courierlake.plans.export_consolidation import consolidated_delimited_export, consolidated_export
 from courierlake.plans.movement_history import (latest_per_code, movement_history, tracking_keys,
                                                 usable_documents)
 from courierlake.plans.visit_mart import clean_vehicles, visit_mart, visit_mart_from_pages
@@ -58,6 +58,8 @@ def landed(spark: SparkSession, sf_dir: str, feed: str) -> str:
             _LANDED[key] = fx.land_routing_pages(spark, _t(spark, sf_dir, "customer"),
                                                  _t(spark, sf_dir, "orders", spread=True),
                                                  _t(spark, sf_dir, "lineitem", spread=True))
+        elif feed == "exports_csv":
+            _LANDED[key] = fx.land_exports_csv(spark, _t(spark, sf_dir, "orders"))
         elif feed == "exports":
             _LANDED[key] = fx.land_exports(spark, _t(spark, sf_dir, "orders"))
         else:
@@ -162,6 +164,12 @@ def q12_export_consolidation(spark, sf_dir):
     return consolidated_export(spark, landed(spark, sf_dir, "exports"))
 
 
+def q12b_export_consolidation_csv(spark, sf_dir):
+    """E3 from delimited exports: one declared-schema CSV scan per header
+    set (S3), outer union by name (U2), manifest gate, P4-P6."""
+    return consolidated_delimited_export(spark, landed(spark, sf_dir, "exports_csv"))
+
+
 def q13_daily_spine(spark, sf_dir):
     """Every day from the first to the last event day."""
     ev = _t(spark, sf_dir, "events")
@@ -202,6 +210,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q10_latest_per_code": q10_latest_per_code,
     "q11_text_cast": q11_text_cast,
     "q12_export_consolidation": q12_export_consolidation,
+    "q12b_export_consolidation_csv": q12b_export_consolidation_csv,
     "q13_daily_spine": q13_daily_spine,
     "q14_backward_windows": q14_backward_windows,
     "q15_replace_table": q15_replace_table,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courierlake import config
-from courierlake.operators.shape import q
+from courierlake.operators.shape import q, union_outer
 
 # --- S5: response gates ---------------------------------------------------------
 
@@ -163,6 +163,38 @@ def gate_exports(exports: DataFrame, manifest: DataFrame, window_col: str = "win
     return exports.join(usable_windows(manifest, window_col), on=window_col, how="left_semi")
 
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "timestamp_ntz": T.TimestampNTZType(),
+          "double": T.DoubleType(), "date": T.DateType()}
+
+
+def export_schema(header: list[str], types: dict[str, str] | None = None) -> T.StructType:
+    """Declared schema of a delimited export with this header: the typed
+    sheet columns keep their type, every other column is text."""
+    types = config.EXPORT_TYPED_HEADERS if types is None else types
+    return T.StructType([T.StructField(h, _TYPES[types.get(h, "string")]) for h in header])
+
+
+def read_delimited_exports(spark: SparkSession, root: str, manifest: DataFrame,
+                           window_col: str = "window_start") -> DataFrame:
+    """All windows of a delimited export landed under ``root/<window_col>=<date>/``
+    whose header is recorded per window in ``manifest.header``.
+
+    Windows with the same header are read in one scan with a declared schema
+    (one scan per distinct header, not per window; the header list is landing
+    metadata, one short row per distinct header); the scans are combined by
+    name, so a column missing from some sheets reads as NULL there.
+    """
+    headers = [r["header"] for r in manifest.select("header").distinct().collect()]
+    frames = []
+    for header in headers:
+        days = manifest.where(F.col("header") == F.array(*[F.lit(h) for h in header])) \
+            .select(F.date_format(window_col, "yyyy-MM-dd").alias("d"))
+        paths = [f"{root}/{window_col}={r['d']}" for r in days.collect()]
+        frames.append(spark.read.schema(export_schema(header)).option("header", "true")
+                      .option("basePath", root).csv(paths))
+    return union_outer(frames)
+
+
 def read_export_files(spark: SparkSession, paths: dict, fmt: str = "csv",
                       window_col: str = "window_seq",
                       options: dict[str, str] | None = None) -> list[DataFrame]:
