@@ -65,21 +65,27 @@ def explode_movements(docs: DataFrame, doc_col: str = "doc",
 
 
 def latest_by_code(df: DataFrame, index: list[str], code_col: str, value_col: str,
-                   codes: list[str], renames: dict[str, str] | None = None) -> DataFrame:
+                   codes: list[str] | None = None, renames: dict[str, str] | None = None) -> DataFrame:
     """Pivot: one row per ``index`` group, one column per code, value = latest
     ``value_col`` for that code.
 
     Groups with a NULL in the index and NULL values are left out first (the
-    pivot of the feed drops them). ``codes`` is explicit, so no extra job
-    looks for distinct codes. Spark plans max-per-code as conditional
-    aggregates with partial aggregation: a hot group is pre-reduced in every
-    task before the shuffle.
+    pivot of the feed drops them). With an explicit ``codes`` list no extra
+    job looks for distinct codes (a listed code without values gives an
+    all-NULL column). ``codes=None`` takes the codes present in the data, as
+    the feed's pivot does: Spark runs one distinct job, bounded by
+    ``spark.sql.pivotMaxValues`` (it fails rather than grow past it), and a
+    code whose values are all NULL never appears because NULL values are
+    dropped first. Spark plans max-per-code as conditional aggregates with
+    partial aggregation: a hot group is pre-reduced in every task before the
+    shuffle.
     """
     renames = renames or {}
     cond = F.col(q(value_col)).isNotNull()
     for c in index:
         cond = cond & F.col(q(c)).isNotNull()
-    return df.where(cond).groupBy(*[F.col(q(c)) for c in index]) \
-        .pivot(code_col, codes) \
-        .agg(F.max(F.col(q(value_col)))) \
-        .withColumnsRenamed({c: renames[c] for c in codes if c in renames})
+    grouped = df.where(cond).groupBy(*[F.col(q(c)) for c in index])
+    pivoted = grouped.pivot(code_col, codes) if codes is not None else grouped.pivot(code_col)
+    out = pivoted.agg(F.max(F.col(q(value_col))))
+    present = {c: renames[c] for c in out.columns if c in renames and c not in index}
+    return out.withColumnsRenamed(present) if present else out

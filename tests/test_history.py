@@ -69,3 +69,14 @@ def test_latest_by_code_drops_null_index_and_values(spark):
     assert out.columns == ["g", "h", "fecha_SS", "fecha_AO", "fecha_EN"]
     got = sorted(tuple(r) for r in out.collect())
     assert got == [("a", "x", t(2024, 1, 3), None, None), ("b", "", None, None, t(2024, 1, 2))]
+
+
+def test_latest_by_code_discovers_codes_and_drops_all_null_codes(spark):
+    t = dt.datetime
+    df = spark.createDataFrame([
+        ("a", "SS", t(2024, 1, 1)), ("a", "AO", t(2024, 1, 2)), ("b", "ZZ", None), ("b", "SS", t(2024, 1, 4)),
+    ], "g string, code string, ts timestamp_ntz")
+    out = latest_by_code(df, ["g"], "code", "ts", None, config.PIVOT_RENAMES)
+    assert sorted(out.columns) == ["fecha_AO", "fecha_SS", "g"]        # ZZ has only NULL values
+    assert sorted(tuple(r) for r in out.select("g", "fecha_SS", "fecha_AO").collect()) == [
+        ("a", t(2024, 1, 1), t(2024, 1, 2)), ("b", t(2024, 1, 4), None)]
