@@ -491,8 +491,9 @@ def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None
     """Land the export feed below the checkpoint folder and return its root:
     ``root/data`` holds Parquet files under ``window_start=<date>/`` (every
     4th window's sheet has no ``Telefono`` column); ``root/manifest`` holds
-    the response of every requested window. Files of every window are
-    present (as left by earlier runs); the manifest says which are usable."""
+    the response and the written schema of every requested window. Files of
+    every window are present (as left by earlier runs); the manifest says
+    which are usable."""
     root = root or scratch_path(spark, "exports")
     run_date, floor = export_bounds(orders)
     # Rebalance on the window so each window lands as few files (AQE splits a
@@ -502,5 +503,11 @@ def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None
     with_tel = rows.where(F.col("window_seq") % 4 != 1).drop("window_seq")
     with_tel.write.mode("overwrite").partitionBy("window_start").parquet(f"{root}/data")
     without.write.mode("append").partitionBy("window_start").parquet(f"{root}/data")
-    export_manifest(orders, run_date, floor).write.mode("overwrite").parquet(f"{root}/manifest")
+    # The manifest records each window's written schema, so readers need no
+    # footer-merging pass.
+    schema_of = lambda df: df.drop("window_start").schema.json()
+    seq = F.datediff(F.lit(run_date).cast("date"), F.col("window_end")) / 31
+    man = export_manifest(orders, run_date, floor).withColumn(
+        "schema", F.when(seq % 4 == 1, F.lit(schema_of(without))).otherwise(F.lit(schema_of(with_tel))))
+    man.write.mode("overwrite").parquet(f"{root}/manifest")
     return root

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.operators.shape import cast_text, drop_empty_columns, normalise_headers
-from courierlake.sources.landed import gate_exports, read_delimited_exports, read_exports
+from courierlake.sources.landed import gate_exports, read_delimited_exports, read_exports, union_schema
 
 
 def consolidate(exports: DataFrame, window_col: str = "window_start") -> DataFrame:
@@ -31,8 +31,9 @@ def consolidated_export(spark: SparkSession, root: str, window_col: str = "windo
     windows (``window_start=<date>/``), ``root/manifest`` one response row per
     requested window; windows whose response was not a spreadsheet are left
     out (as the feed skips them)."""
-    exports = read_exports(spark, f"{root}/data")
     manifest = spark.read.parquet(f"{root}/manifest")
+    schema = union_schema(manifest) if "schema" in manifest.columns else None
+    exports = read_exports(spark, f"{root}/data", schema=schema)
     return consolidate(gate_exports(exports, manifest, window_col), window_col)
 
 

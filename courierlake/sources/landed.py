@@ -8,6 +8,8 @@ the responses and turn them into rows, all as lazy column expressions.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,13 +137,31 @@ def lookup_documents(keys: DataFrame, docs: DataFrame, key_col: str = "tracking"
 
 # --- S3: landed exports ---------------------------------------------------------------
 
-def read_exports(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """Every landed export window under ``root`` (``<window_col>=<date>/``).
-
-    Windows may differ in their header set; the Parquet footers are merged by
-    name, so a column missing from a window reads as NULL there (the outer
-    union by name of the per-window frames), in one scan over all windows.
+def union_schema(manifest: DataFrame, col: str = "schema") -> T.StructType:
+    """Outer union by name (first appearance order) of the window schemas the
+    landing recorded as JSON in ``manifest.<col>``. Only the distinct schemas
+    reach the driver: a handful of short strings, whatever the data size."""
+    merged: dict[str, T.StructField] = {}
+    for r in manifest.select(col).distinct().orderBy(col).collect():
+        for f in T.StructType.fromJson(json.loads(r[col])).fields:
+            merged.setdefault(f.name, f)
+    return T.StructType(list(merged.values()))
+
+
+def read_exports(spark: SparkSession, root: str, fmt: str = "parquet",
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Every landed export window under ``root`` (``<window_col>=<date>/``),
+    in one scan.
+
+    Windows may differ in their header set. With ``schema`` (the union of the
+    recorded window schemas, see :func:`union_schema`) the scan reads each
+    file with it and a column missing from a file reads as NULL; without it
+    the Parquet footers of all files are merged by name first (an extra job
+    over every footer). Either way this is the outer union by name of the
+    per-window frames.
     """
+    if schema is not None:
+        return spark.read.schema(schema).format(fmt).load(root)
     reader = spark.read.option("mergeSchema", "true") if fmt == "parquet" else \
         spark.read.option("header", "true")
     return reader.format(fmt).load(root)

@@ -47,3 +47,16 @@ def test_csv_windows_with_own_headers(spark, tmp_path):
     out = drop_empty_columns(u, order_by="window_seq")
     assert out.columns == ["Nro_de_guia", "Peso_kg", "Destino"]
     assert sorted(tuple(r) for r in out.collect()) == [("G1", "3", None), ("G2", None, "Lima")]
+
+
+def test_union_schema_from_manifest(spark):
+    from pyspark.sql import types as T
+
+    from courierlake.sources.landed import union_schema
+    a = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.StringType())])
+    b = T.StructType([T.StructField("x", T.LongType()), T.StructField("z", T.DoubleType())])
+    man = spark.createDataFrame([(a.json(),), (b.json(),), (a.json(),)], "schema string")
+    u = union_schema(man)
+    assert [f.name for f in u.fields] in (["x", "y", "z"], ["x", "z", "y"])
+    assert dict((f.name, f.dataType) for f in u.fields) == {"x": T.LongType(), "y": T.StringType(),
+                                                              "z": T.DoubleType()}
