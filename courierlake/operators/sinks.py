@@ -28,6 +28,15 @@ def _reads_path(df: DataFrame, path: str) -> bool:
         return False
 
 
+def _table_location(df: DataFrame, table: str) -> str | None:
+    """Storage location of an existing catalog table, else None."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+
+
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "replace",
                   options: dict[str, str] | None = None, skip_if_empty: bool = False,
                   partition_by: list[str] | None = None) -> bool:
@@ -35,16 +44,17 @@ def replace_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str =
 
     ``mode``: ``replace`` | ``append`` | ``fail``. With ``skip_if_empty`` an
     empty frame leaves the target untouched (a bounded ``isEmpty`` probe).
-    A frame that reads the very path it replaces is first checkpointed into
-    the shared checkpoint folder, so the overwrite never deletes its own
-    input. Returns True when something was written.
+    A frame that reads the very path (or table) it replaces is first
+    checkpointed into the shared checkpoint folder, so the overwrite never
+    deletes its own input. Returns True when something was written.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     if skip_if_empty and df.isEmpty():
         return False
     is_path = "/" in target
-    if is_path and MODES[mode] == "overwrite" and _reads_path(df, target):
+    location = target if is_path else _table_location(df, target)
+    if MODES[mode] == "overwrite" and location and _reads_path(df, location):
         df = df.checkpoint(eager=True)
     writer = df.write.format(fmt).mode(MODES[mode]).options(**(options or {}))
     if partition_by:

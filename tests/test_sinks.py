@@ -28,3 +28,14 @@ def test_replace_own_input(spark):
     src = spark.read.parquet(target)
     replace_table(src.where("id > 0"), target)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def test_replace_catalog_table_from_itself(spark):
+    name = "courierlake_sink_selftest"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    replace_table(spark.range(5), name)
+    replace_table(spark.table(name).where("id % 2 = 0"), name)
+    assert sorted(r.id for r in spark.table(name).collect()) == [0, 2, 4]
+    replace_table(spark.range(0), name, skip_if_empty=True)
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
