@@ -7,9 +7,10 @@ tables and its work grows with them. Unmatched keys, NULL keys, duplicates,
 missing and NULL JSON fields, malformed bodies and bad stamps are made by
 fixed rules on ids (the SQL oracle repeats them exactly).
 
-All views are lazy DataFrame expressions, except that landed exports are
-written as files (the export feed is a file feed), below the shared
-checkpoint folder.
+All views are lazy DataFrame expressions. The feeds that arrive as landed
+files in reality (tracking documents, export windows, routing pages) also
+have ``land_*`` writers that put them below the shared checkpoint folder as
+several files each; the registered queries read those files back.
 """
 
 from __future__ import annotations

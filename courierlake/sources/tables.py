@@ -1,9 +1,10 @@
 """Warehouse tables (Parquet) as inputs of the feeds' shapes.
 
-A table whose scan yields fewer splits than the cluster has cores (one small
-file, one row group) would run every per-row step before the first shuffle in
-a handful of tasks. Such a narrow input is hash-partitioned on its key into
-``spark.sql.shuffle.partitions`` right after the scan (filters and column
+A table stored in fewer files than the cluster has cores (one small file with
+one row group, say) would run every per-row step before the first shuffle in a
+handful of tasks. Such a narrow input, when the caller asks for it, is
+hash-partitioned on its key into ``spark.sql.shuffle.partitions`` right after
+the scan (filters and column
 pruning still reach the scan below the exchange). Hash partitioning on the key
 is deterministic, so a retried task sees the same rows, and two tables spread
 on the same join key with the same partition count join without another
