@@ -293,6 +293,9 @@ FROM events WHERE event_id % 10 < 4
     "q05b_visit_mart_from_pages": visit_mart_sql(1, text_dates=True),
     "q06_visit_mart_account2": visit_mart_sql(2),
     "q07_movement_history": HISTORY_SQL,
+    "q07b_movement_history_date_only": HISTORY_SQL.replace(
+        "CASE WHEN e.event_id % 10 IN (1, 4, 8, 9) THEN date_trunc('second', e.ts) END AS movimiento_fecha",
+        "CAST(NULL AS TIMESTAMP) AS movimiento_fecha"),
     "q08_stamp_parse": """
 SELECT event_id, CASE WHEN event_id % 10 IN (1, 4, 8, 9) THEN date_trunc('second', ts) END AS movimiento_fecha
 FROM events
@@ -303,6 +306,7 @@ FROM (SELECT l_partkey AS id, l_orderkey AS route, l_linenumber AS order_visit,
              {CODE_SQL} AS checkout_observation FROM lineitem)
 """,
     "q10_latest_per_code": latest_per_code_sql(),
+    "q10b_latest_per_code_discovered": latest_per_code_sql(),
     "q11_text_cast": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

@@ -134,6 +134,12 @@ def q07_movement_history(spark, sf_dir):
     return movement_history(_keys(spark, sf_dir), _documents(spark, sf_dir))
 
 
+def q07b_movement_history_date_only(spark, sf_dir):
+    """E2 with the feed's literal movement format (date only): the assembled
+    date-and-time text never matches, so every movement stamp is NULL."""
+    return movement_history(_keys(spark, sf_dir), _documents(spark, sf_dir), with_time=False)
+
+
 def q08_stamp_parse(spark, sf_dir):
     """Date text + ' ' + time text, exact-format parse."""
     t = fx.split_times(_t(spark, sf_dir, "events", spread=True))
@@ -154,6 +160,11 @@ def q10_latest_per_code(spark, sf_dir):
     return latest_per_code(q07_movement_history(spark, sf_dir), PIVOT_CODES, PIVOT_RENAMES)
 
 
+def q10b_latest_per_code_discovered(spark, sf_dir):
+    """A1/A2 with the codes taken from the data, as the feed's pivot does."""
+    return latest_per_code(q07_movement_history(spark, sf_dir), None, PIVOT_RENAMES)
+
+
 def q11_text_cast(spark, sf_dir):
     """P5: listed columns to text, the others keep their type."""
     return cast_text(_t(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
@@ -205,9 +216,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q05b_visit_mart_from_pages": q05b_visit_mart_from_pages,
     "q06_visit_mart_account2": q06_visit_mart_account2,
     "q07_movement_history": q07_movement_history,
+    "q07b_movement_history_date_only": q07b_movement_history_date_only,
     "q08_stamp_parse": q08_stamp_parse,
     "q09_outcome_labels": q09_outcome_labels,
     "q10_latest_per_code": q10_latest_per_code,
+    "q10b_latest_per_code_discovered": q10b_latest_per_code_discovered,
     "q11_text_cast": q11_text_cast,
     "q12_export_consolidation": q12_export_consolidation,
     "q12b_export_consolidation_csv": q12b_export_consolidation_csv,
