@@ -221,6 +221,16 @@ GROUP BY {", ".join(idx)}
 """
 
 
+def discovered_codes_sql() -> str:
+    idx = config.PIVOT_INDEX
+    not_null = " AND ".join(f"{c} IS NOT NULL" for c in idx + ["movimiento_fecha"])
+    return f"""
+WITH h AS ({HISTORY_SQL}),
+f AS (SELECT {", ".join(idx)}, movimiento_codigo, movimiento_fecha FROM h WHERE {not_null})
+SELECT * FROM (PIVOT f ON movimiento_codigo USING max(movimiento_fecha) GROUP BY {", ".join(idx)})
+"""
+
+
 # --- export feed ----------------------------------------------------------------------
 
 EXPORT_SQL = """
@@ -306,7 +316,7 @@ FROM (SELECT l_partkey AS id, l_orderkey AS route, l_linenumber AS order_visit,
              {CODE_SQL} AS checkout_observation FROM lineitem)
 """,
     "q10_latest_per_code": latest_per_code_sql(),
-    "q10b_latest_per_code_discovered": latest_per_code_sql(),
+    "q10b_latest_per_code_discovered": discovered_codes_sql(),
     "q11_text_cast": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

@@ -161,8 +161,9 @@ def q10_latest_per_code(spark, sf_dir):
 
 
 def q10b_latest_per_code_discovered(spark, sf_dir):
-    """A1/A2 with the codes taken from the data, as the feed's pivot does."""
-    return latest_per_code(q07_movement_history(spark, sf_dir), None, PIVOT_RENAMES)
+    """A1 with the codes taken from the data, as the feed's pivot does: one
+    column per code that has a stamp (named by the code itself)."""
+    return latest_per_code(q07_movement_history(spark, sf_dir), None, {})
 
 
 def q11_text_cast(spark, sf_dir):
