@@ -36,15 +36,22 @@ def gate_dated(raw: DataFrame, item_schema: T.StructType, body: str = "body",
     Usable: status 200, body is a JSON array, and the array is not empty;
     ``usable`` carries the parsed array in ``__items``. ``rejected`` keeps the
     envelope with a ``reason`` of ``status``, ``malformed`` or ``empty``.
+    Rejected rows come out of a generator (one row per rejected response, none
+    otherwise) rather than a filter, so the parse behind the reason is not
+    inlined into a pushed-down condition: each body is parsed once.
     """
     items = _array_body(F.col(body), item_schema)
-    marked = raw.withColumn("__items", items)
+    usable = raw.withColumn("__items", items).where((F.col(status) == 200) & (F.size("__items") > 0))
+    # The item count is computed once in a projection; the reason and the
+    # generator only reference that column.
+    keep = [c for c in raw.columns if c != body]
+    counted = raw.select(*[F.col(q(c)) for c in keep], F.size(items).alias("__n"))
+    n = F.col("__n")           # NULL (ANSI) or -1 (legacy) when not an array
     reason = (F.when(F.col(status) != 200, F.lit("status"))
-              .when(F.col("__items").isNull(), F.lit("malformed"))
-              .when(F.size("__items") == 0, F.lit("empty")))
-    marked = marked.withColumn("reason", reason)
-    usable = marked.where(F.col("reason").isNull()).drop("reason")
-    rejected = marked.where(F.col("reason").isNotNull()).drop("__items", body)
+              .when(n.isNull() | (n < 0), F.lit("malformed"))
+              .when(n == 0, F.lit("empty")))
+    rejected = counted.select(*[F.col(q(c)) for c in keep],
+                              F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reason"))
     return usable, rejected
 
 
