@@ -159,8 +159,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id reachable over links, the own one included;
     kept marks the row with that id. Null text, or text without words: an empty
     set, linked with nothing. Fewer than five words: the whole sequence is one
-    shingle. Rows that repeat an id are one node, each with its own set. A null
-    id is kept on its own and links nothing. Other columns are ignored; an
+    shingle. Rows that repeat an id are documents of their own sets, under the
+    same id. A null id is kept on its own and links nothing. Other columns are ignored; an
     empty table gives no rows.
     """
     sketches = staged(_sketches(docs, id_col, text_col), "sketches")
