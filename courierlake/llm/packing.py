@@ -23,7 +23,7 @@ from courierlake.llm.common import staged
 
 WINDOW = 4096
 OPEN_WINDOWS = 64
-MERGE_FAN_IN = 64
+MERGE_FAN_IN = 16
 EOD = 2
 TOKENIZER = "word_bpe_49k.json"
 # Words whose ids a worker remembers at a time, and the longest word kept.
