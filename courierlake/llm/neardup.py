@@ -1,15 +1,16 @@
 """Near-duplicate groups by b-bit MinHash with exact confirmation.
 
-A document's set holds its distinct five-word shingles. Of 128 minima only the
-two low bits are kept, packed as bit planes; bands of four full minima propose
-candidates, the packed planes give a collision-corrected estimate by bit
-counts, and what passes is confirmed on the full sets.
+A document's set holds its distinct five-word shingles. Of 512 minima only the
+two low bits are kept, packed as bit planes; bands of four full minima (of the
+first 128) propose candidates, the packed planes give a collision-corrected
+estimate by bit counts, and what passes is confirmed on the full sets.
 
 Large buckets are not expanded into pairs. Documents with equal sets are one
 class. In the first round each class is held against the smallest class of its
-buckets only. The second round visits the buckets that still hold more than
-one component, in blocks of bounded size, and proposes the pairs between
-different components, so no link between different sets is lost.
+buckets only. Buckets that still hold more than one component are then met in
+blocks of bounded size: first each member proposes its best partner in another
+component, which joins nearly all of a group; then every pair that is still
+between components is proposed, so no link between different sets is lost.
 """
 
 from __future__ import annotations
@@ -27,12 +28,14 @@ from courierlake.llm.graph import components
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
-N_HASHES = 128
+N_HASHES = 512
+BAND_HASHES = 128
 BAND_ROWS = 4            # 32 bands: a pair at 0.75 shares none with probability 5e-6
 LOW_BITS = 2
-# The estimate's standard deviation at 0.75 is 0.046; 0.55 lies 4.3 of them below.
-ESTIMATE_FLOOR = 0.55
+# The estimate's standard deviation at 0.75 is 0.023; 0.65 lies 4.3 of them below.
+ESTIMATE_FLOOR = 0.65
 BLOCK_MEMBERS = 512
+GROUP_ROWS = 20_000
 CHUNK_WORDS = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -95,10 +98,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = THRESHOLD_PERCENT) -> bo
 def sketch(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and the bit planes (LOW_BITS * N_HASHES / 64 words) of a set."""
     minima = np.full(N_HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(own), 4096):
-        minima = np.minimum(minima, (own[at:at + 4096, None] * _MUL + _ADD).min(axis=0))
+    for at in range(0, len(own), 256):
+        minima = np.minimum(minima, (own[at:at + 256, None] * _MUL + _ADD).min(axis=0))
     minima = _mix(minima)
-    bands = minima.reshape(-1, BAND_ROWS)
+    bands = minima[:BAND_HASHES].reshape(-1, BAND_ROWS)
     key = np.arange(1, len(bands) + 1, dtype=np.uint64)
     for k in range(BAND_ROWS):
         key = _mix(key * _BASE + bands[:, k])
@@ -180,11 +183,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(_confirmed(star, docs, id_col, text_col), "links")
     labels = staged(components(links), "labels")
 
-    more = staged(_between_components(shared, labels, planes)
-                  .join(star, ["a", "b"], "left_anti"), "between")
-    if more.take(1):
-        late = _confirmed(more, docs, id_col, text_col)
-        labels = staged(components(links.unionByName(late)), "labels")
+    tried = star
+    for best in (True, False):
+        more = staged(_between_components(shared, labels, classes, best).distinct()
+                      .join(tried, ["a", "b"], "left_anti"), "between")
+        if more.take(1):
+            links = staged(links.unionByName(_confirmed(more, docs, id_col, text_col)), "links")
+            labels = staged(components(links), "labels")
+            tried = tried.unionByName(more)
 
     names = classes.select("set_hash", "id").join(labels.toDF("id", "label"), "id", "left").select(
         "set_hash", F.coalesce("label", "id").alias("component_id"))
@@ -196,27 +202,69 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
-def _between_components(shared: DataFrame, labels: DataFrame, planes: DataFrame) -> DataFrame:
-    """Candidate pairs (a < b) of different components in buckets of three or
-    more (the first round has met every pair of a bucket of two).
+def _meet(frame: pd.DataFrame, best: bool) -> pd.DataFrame:
+    """Pairs (a < b) of different labels that pass the estimate, bucket block by
+    bucket block: each member's best partner, or every pair, in the first of
+    the buckets that it shares."""
+    frame = frame.sort_values(["key", "i", "j", "id"], kind="stable")
+    ids, labels, block = (frame[c].to_numpy() for c in ("id", "label", "block"))
+    planes = np.stack(frame["planes"].to_list()).view(np.uint64)
+    bands = np.stack(frame["bands"].to_list())
+    key, i, j = (frame[c].to_numpy() for c in ("key", "i", "j"))
+    cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    n_words, chance, out = N_HASHES // 64, 2.0 ** -LOW_BITS, []
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(frame)]):
+        left = lo + np.flatnonzero(block[lo:hi] == i[lo])
+        right = lo + np.flatnonzero(block[lo:hi] == j[lo])
+        differ = np.zeros((len(left), len(right)), np.int64)
+        for w in range(n_words):
+            either = np.zeros_like(differ, np.uint64)
+            for k in range(w, LOW_BITS * n_words, n_words):
+                either |= planes[left, k][:, None] ^ planes[right, k][None, :]
+            differ += np.bitwise_count(either)
+        similar = ((N_HASHES - differ) / N_HASHES - chance) / (1 - chance)
+        similar[(similar < ESTIMATE_FLOOR) | (labels[left][:, None] == labels[right][None, :])] = -1
+        if i[lo] == j[lo] and not best:
+            similar[np.tril_indices(len(left))] = -1
+        if not (similar >= 0).any():
+            continue
+        if best:
+            x, y = np.arange(len(left)), similar.argmax(axis=1)
+            u, v = similar.argmax(axis=0), np.arange(len(right))
+            x, y = np.concatenate((x, u)), np.concatenate((y, v))
+            keep = similar[x, y] >= 0
+            x, y = left[x[keep]], right[y[keep]]
+        else:
+            x, y = np.nonzero(similar >= 0)
+            x, y = left[x], right[y]
+            first = (bands[x] == bands[y]).argmax(axis=1)
+            keep = bands[x, first] == key[lo]
+            x, y = x[keep], y[keep]
+        out.append(np.unique(np.sort(np.stack((ids[x], ids[y]), axis=1), axis=1), axis=0))
+    pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+    return pd.DataFrame(np.unique(pairs, axis=0), columns=["a", "b"])
+
+
+def _between_components(shared: DataFrame, labels: DataFrame, classes: DataFrame, best: bool) -> DataFrame:
+    """Candidate pairs of different components in buckets of three or more (the
+    first round has met every pair of a bucket of two).
 
     A bucket is cut into blocks of about BLOCK_MEMBERS by a hash of the id and
-    met block against block, each pair of blocks under a key of its own, so a
-    large bucket spreads over many tasks. Only pairs that pass the estimate
-    leave the join.
+    met block against block, so a large bucket spreads over many tasks.
     """
     named = (shared.where("n > 2").join(labels.toDF("id", "label"), "id", "left")
              .withColumn("label", F.coalesce("label", "id")))
     mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    rest = named.join(mixed.select("key"), "key").join(planes, "id")
-    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("blocks") - 1).cast("bigint")))
-    left = rest.select("key", F.col("block").alias("i"), other.alias("j"), F.col("id").alias("a"),
-                       F.col("label").alias("la"), F.col("planes").alias("pa"))
-    right = rest.select("key", other.alias("i"), F.col("block").alias("j"), F.col("id").alias("b"),
-                        F.col("label").alias("lb"), F.col("planes").alias("pb"))
-    return (left.join(right, ["key", "i", "j"])
-            .where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-                   & (estimate("pa", "pb") >= ESTIMATE_FLOOR))
-            .select("a", "b").distinct())
+    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("bigint")
+    rest = named.join(mixed.select("key"), "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    rest = staged(rest.select("key", "id", "label", "block", other.alias("o")).select(
+        "key", "id", "label", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j")), "rest")
+    groups = rest.count() // GROUP_ROWS + 1
+    rows = rest.join(classes.select("id", "planes", "bands"), "id").withColumn(
+        "g", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        return _meet(frame, best)
+
+    return rows.groupBy("g").applyInPandas(meet, "a long, b long")
