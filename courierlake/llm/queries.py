@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import chains, chat, decontaminate, langid, neardup, packing, pii, quality, suffixes, wrapper
+from courierlake.llm import chains, chat, decontaminate, langid, neardup, packing, pii, quality, sql, suffixes, wrapper
 from courierlake.llm.common import ship, table
 
 
@@ -98,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_wrapper, op2_line_frequency, op3_decontamination, op4_minhash, op5_suffix_merge, op6_prefix_targets, op7_pseudonyms, op8_collinear_chains,
         op9_language, op10_packing)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_line_frequency": sql.OP2, "op3_decontamination": sql.OP3,
+                              "op4_minhash": sql.OP4, "op6_prefix_targets": sql.OP6}
