@@ -256,8 +256,9 @@ def _walk(w: Wrap):
 
 
 def _template(w: Wrap) -> bool:
-    """Constant text in a fixed place of enough pages."""
-    return not w.repeat and not w.kids and w.n >= SEEN_ENOUGH and len(w.values) == 1
+    """Constant text in a fixed place of enough pages. A paragraph or heading
+    inside the content stays, even if many pages share it."""
+    return w.tag not in BLOCK_TEXT and not w.repeat and not w.kids and w.n >= SEEN_ENOUGH and len(w.values) == 1
 
 
 def main_text(page: str | None, wrapper: Wrap | None) -> str:

@@ -21,6 +21,7 @@ DOCUMENT_GRAMS = 400     # ranks of a document
 FLUSH_GRAMS = 500_000    # counts a task holds before it adds them up
 CHUNK_CHARS = 1 << 20    # a longer text is counted in runs cut at a blank
 UNKNOWN = "und"
+BLANK = 1                # code of the blank that frames a word; no letter has it
 
 
 @cache
@@ -50,16 +51,16 @@ def _add(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams (n = 1 to 3) of a whole text's lower-cased words, each word
-    framed by blanks, as keys of 21 bits a character (a blank is 0), with their
+    framed by blanks, as keys of 21 bits a character (a blank is 1), with their
     counts. A lone blank is no gram, and no gram spans two words."""
     parts = []
     for chunk in _chunks(text or ""):
         code = np.frombuffer(chunk.lower().encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-        code = np.concatenate(([0], np.where(_letters()[code], code, 0), [0]))
-        code = code[np.concatenate(([True], (code[1:] != 0) | (code[:-1] != 0)))]
+        code = np.concatenate(([BLANK], np.where(_letters()[code], code, BLANK), [BLANK]))
+        code = code[np.concatenate(([True], (code[1:] != BLANK) | (code[:-1] != BLANK)))]
         two = (code[:-1] << 21) | code[1:]
-        three = (two[:-1] << 21 | code[2:])[code[1:-1] != 0]
-        keys = np.sort(np.concatenate((code[code != 0], two[two != 0], three)))
+        three = (two[:-1] << 21 | code[2:])[code[1:-1] != BLANK]
+        keys = np.sort(np.concatenate((code[code != BLANK], two[two != (BLANK << 21 | BLANK)], three)))
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else []
         parts.append((keys[first], np.diff(np.append(first, len(keys)))) if len(keys)
                      else (keys, keys))
@@ -74,7 +75,7 @@ def gram_text(key: int) -> str:
     """The n-gram of a key, blanks for the word frame."""
     out = ""
     while key:
-        out = (chr(key & 0x1FFFFF) if key & 0x1FFFFF else " ") + out
+        out = (" " if key & 0x1FFFFF == BLANK else chr(key & 0x1FFFFF)) + out
         key >>= 21
     return out
 
