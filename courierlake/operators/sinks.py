@@ -4,37 +4,34 @@ guarded load that keeps the old table when nothing arrived.
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql.utils import AnalysisException
+
+from courierlake.session import scratch_path
 
 # The feeds' write modes and Spark's names for them.
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists",
          "overwrite": "overwrite", "errorifexists": "errorifexists"}
 
 
-def _strip_scheme(path: str) -> str:
-    path = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path)
-    return "/" + path.lstrip("/")
-
-
-def _reads_path(df: DataFrame, path: str) -> bool:
-    """True if any input file of ``df`` lies below ``path``."""
-    target = _strip_scheme(path).rstrip("/") + "/"
-    try:
-        return any(_strip_scheme(f).startswith(target) for f in df.inputFiles())
-    except AnalysisException:
-        return False
-
-
-def _table_location(df: DataFrame, table: str) -> str | None:
-    """Storage location of an existing catalog table, else None."""
+def _swap_in(df: DataFrame, staging: str, target: str) -> None:
+    """Put the finished folder ``staging`` in the place of ``target``: the old
+    folder is set aside, and deleted only when the new one stands."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, aside = path(staging), path(target), path(staging + "-old")
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"cannot set {target} aside")
+    if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
+        raise OSError(f"cannot move {staging} to {target}")
+    if had:
+        fs.delete(aside, True)
+    spark.catalog.refreshByPath(target)
 
 
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "replace",
@@ -44,23 +41,35 @@ def replace_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str =
 
     ``mode``: ``replace`` | ``append`` | ``fail``. With ``skip_if_empty`` an
     empty frame leaves the target untouched (a bounded ``isEmpty`` probe).
-    A frame that reads the very path (or table) it replaces is first
-    checkpointed into the shared checkpoint folder, so the overwrite never
-    deletes its own input. Returns True when something was written.
+    A replacement is computed in full before the old data is touched: a path
+    is written to a sibling folder and swapped in, a table is written to the
+    shared checkpoint folder first. A job that fails, or reads what it
+    replaces, leaves the old rows readable. Returns True when something was
+    written.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     if skip_if_empty and df.isEmpty():
         return False
     is_path = "/" in target
-    location = target if is_path else _table_location(df, target)
-    if MODES[mode] == "overwrite" and location and _reads_path(df, location):
-        df = df.checkpoint(eager=True)
-    writer = df.write.format(fmt).mode(MODES[mode]).options(**(options or {}))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if is_path:
-        writer.save(target)
+    how = MODES[mode]
+
+    def writer(frame: DataFrame, how: str):
+        out = frame.write.format(fmt).mode(how).options(**(options or {}))
+        return out.partitionBy(*partition_by) if partition_by else out
+
+    if how == "overwrite" and is_path:
+        target = target.rstrip("/")
+        parent, _, name = target.rpartition("/")
+        staging = f"{parent}/.{name}-{uuid.uuid4().hex[:12]}"
+        writer(df, how).save(staging)
+        _swap_in(df, staging, target)
+    elif how == "overwrite":
+        staging = scratch_path(df.sparkSession, "replace")
+        df.write.parquet(staging)
+        writer(df.sparkSession.read.schema(df.schema).parquet(staging), how).saveAsTable(target)
+    elif is_path:
+        writer(df, how).save(target)
     else:
-        writer.saveAsTable(target)
+        writer(df, how).saveAsTable(target)
     return True

@@ -227,7 +227,8 @@ def discovered_codes_sql() -> str:
     return f"""
 WITH h AS ({HISTORY_SQL}),
 f AS (SELECT {", ".join(idx)}, movimiento_codigo, movimiento_fecha FROM h WHERE {not_null})
-SELECT * FROM (PIVOT f ON movimiento_codigo USING max(movimiento_fecha) GROUP BY {", ".join(idx)})
+SELECT * FROM (PIVOT f ON movimiento_codigo IN
+  ('click', 'error', 'purchase', 'signup', 'view') USING max(movimiento_fecha) GROUP BY {", ".join(idx)})
 """
 
 

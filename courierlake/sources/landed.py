@@ -41,13 +41,15 @@ def gate_dated(raw: DataFrame, item_schema: T.StructType, body: str = "body",
     inlined into a pushed-down condition: each body is parsed once.
     """
     items = _array_body(F.col(body), item_schema)
-    usable = raw.withColumn("__items", items).where((F.col(status) == 200) & (F.size("__items") > 0))
+    # A response without a status is rejected like one with a failed status.
+    ok = F.coalesce(F.col(status) == 200, F.lit(False))
+    usable = raw.withColumn("__items", items).where(ok & (F.size("__items") > 0))
     # The item count is computed once in a projection; the reason and the
     # generator only reference that column.
     keep = [c for c in raw.columns if c != body]
     counted = raw.select(*[F.col(q(c)) for c in keep], F.size(items).alias("__n"))
     n = F.col("__n")           # NULL (ANSI) or -1 (legacy) when not an array
-    reason = (F.when(F.col(status) != 200, F.lit("status"))
+    reason = (F.when(~ok, F.lit("status"))
               .when(n.isNull() | (n < 0), F.lit("malformed"))
               .when(n == 0, F.lit("empty")))
     rejected = counted.select(*[F.col(q(c)) for c in keep],
@@ -101,8 +103,9 @@ def gate_documents(raw: DataFrame, body: str = "body", status: str = "http_statu
     marked = raw if doc in raw.columns else parse_documents(raw, body, doc)
     keys_col = f"{doc}_keys"
     n_keys = F.col(keys_col) if keys_col in marked.columns else _object_size(F.col(doc))
-    usable = marked.where((F.col(status) < 400) & (n_keys > 0)).drop(body, keys_col)
-    reason = (F.when(F.col(status) >= 400, F.lit("status"))
+    ok = F.coalesce(F.col(status) < 400, F.lit(False))
+    usable = marked.where(ok & (n_keys > 0)).drop(body, keys_col)
+    reason = (F.when(~ok, F.lit("status"))
               .when(n_keys.isNull(), F.lit("malformed"))
               .when(n_keys == 0, F.lit("empty")))
     rejected = marked.withColumn("reason", reason).where(F.col("reason").isNotNull()) \
@@ -209,8 +212,13 @@ def read_delimited_exports(spark: SparkSession, root: str, manifest: DataFrame,
     Windows with the same header are read in one scan with a declared schema
     (one scan per distinct header, not per window; the header list is landing
     metadata, one short row per distinct header); the scans are combined by
-    name, so a column missing from some sheets reads as NULL there.
+    name, so a column missing from some sheets reads as NULL there. Windows
+    that :func:`usable_windows` turns away, or without a header, have no files
+    and are not read; with no window left the result is empty, with the typed
+    sheet columns. Quoted fields may hold line breaks.
     """
+    manifest = manifest.join(usable_windows(manifest, window_col), window_col, "left_semi") \
+        .where(F.col("header").isNotNull())
     headers = [r["header"] for r in manifest.select("header").distinct().collect()]
     frames = []
     for header in headers:
@@ -218,7 +226,10 @@ def read_delimited_exports(spark: SparkSession, root: str, manifest: DataFrame,
             .select(F.date_format(window_col, "yyyy-MM-dd").alias("d"))
         paths = [f"{root}/{window_col}={r['d']}" for r in days.collect()]
         frames.append(spark.read.schema(export_schema(header)).option("header", "true")
-                      .option("basePath", root).csv(paths))
+                      .option("multiLine", "true").option("escape", '"').option("basePath", root).csv(paths))
+    if not frames:
+        window = T.StructField(window_col, manifest.schema[window_col].dataType)
+        return spark.createDataFrame([], T.StructType([*export_schema(list(config.EXPORT_TYPED_HEADERS)), window]))
     return union_outer(frames)
 
 

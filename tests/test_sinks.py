@@ -39,3 +39,23 @@ def test_replace_catalog_table_from_itself(spark):
     replace_table(spark.range(0), name, skip_if_empty=True)
     assert spark.table(name).count() == 3
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_replace_own_input_in_a_path_with_a_blank(spark, tmp_path):
+    target = str(tmp_path / "a b" / "t")
+    replace_table(spark.range(4), target)
+    replace_table(spark.read.parquet(target).where("id > 1"), target)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [2, 3]
+    assert [p.name for p in (tmp_path / "a b").iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_failed_replace_keeps_the_old_rows(spark, kind, tmp_path):
+    target = str(tmp_path / "t") if kind == "path" else "courierlake_sink_failtest"
+    replace_table(spark.range(3), target)
+    read = lambda: spark.read.parquet(target) if kind == "path" else spark.table(target)
+    with pytest.raises(Exception):
+        replace_table(read().selectExpr("if(id = 2, raise_error('stop'), id) AS id"), target)
+    assert read().count() == 3
+    if kind == "table":
+        spark.sql(f"DROP TABLE {target}")
