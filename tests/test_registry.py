@@ -13,11 +13,14 @@ from scripts.compare import TABLES, digest
 from tests.conftest import SF_SMALL
 
 
-@pytest.fixture(scope="module")
-def duck():
+# The smallest tables select no key, so that query discovers no code there.
+SF_OF = {"q10b_latest_per_code_discovered": "/root/testdata/sf0.01"}
+
+
+def connect(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
-        p = os.path.join(SF_SMALL, f"{t}.parquet")
+        p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return con
@@ -29,8 +32,9 @@ def test_every_query_has_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+def test_query_matches_oracle(spark, name):
+    sf_dir = SF_OF.get(name, SF_SMALL)
+    duck, df = connect(sf_dir), entry.queries()[name](spark, sf_dir)
     s_rows = [tuple(r) for r in df.collect()]
     duck.execute(f"CREATE OR REPLACE VIEW oracle AS {entry.oracle_sql()[name]}")
     res = duck.execute("SELECT * FROM oracle")
