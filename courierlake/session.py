@@ -66,7 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="courierlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
