@@ -22,11 +22,14 @@ from courierlake import config
 from courierlake.functions.ranges import backward_windows, window_of
 from courierlake.session import scratch_path, table_path
 from courierlake.sources.landed import parse_documents
-from courierlake.sources.tables import read_table
 
 # Movements of one customer are landed in pages of at most this many event ids,
-# so no document (and no group that builds one) grows with a hot customer.
+# so no document (and no group that builds one) grows with a hot customer. This
+# is a rule of the landing: a customer's events over several id blocks come as
+# several documents, each repeating the shipment fields.
 PAGE_EVENTS = 50_000
+# Vehicle or route ids behind one routing page of a day.
+PAGE_KEYS = 100
 
 # Position of an outcome code among these is l_partkey % 23: 0..20 pick a
 # code, 21 an unknown code, 22 a NULL code.
@@ -34,19 +37,9 @@ CODE_LIST = list(config.OUTCOME_LABELS)
 UNKNOWN_CODE = "unknown-code"
 
 
-# Key each driver table is spread on when a query asks for it and the scan is
-# narrow (see courierlake.sources.tables): lineitem and orders share the order
-# key, so the visit fixture joins them without another exchange.
-TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
-              "part": "p_partkey", "events": "event_id"}
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread=True`` for inputs that feed heavy per-row work
-    or a join on their key before the first shuffle; a plain scan followed by
-    an aggregate or a cheap projection is better left as it is."""
-    path = table_path(sf_dir, name)
-    return read_table(spark, path, TABLE_KEYS.get(name)) if spread else spark.read.parquet(path)
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _s(c: Column) -> Column:
@@ -162,6 +155,19 @@ def visits_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def hot_visits(visits: DataFrame, orders: DataFrame) -> DataFrame:
+    """The visits with a third of them (id % 3 = 0) on one route, the smallest
+    that has a driver and a vehicle, and some (id % 7 = 1) without a route."""
+    k = F.col("o_orderkey")
+    hot = orders.where((k % 5 != 0) & (k % 11 != 0)).agg(
+        F.min(F.struct(k, "o_custkey", F.col("o_orderdate").cast("date").alias("day"))).alias("r")).first()["r"]
+    values = {"route": (hot and hot["o_orderkey"], "bigint"), "vehicle": (hot and hot["o_custkey"], "bigint"),
+              "driver": (hot and hot["o_custkey"] % 7, "bigint"), "planned_date": (hot and hot["day"], "date")}
+    on_hot = F.col("id") % 3 == 0
+    out = visits.withColumns({c: F.when(on_hot, F.lit(v).cast(t)).otherwise(F.col(c)) for c, (v, t) in values.items()})
+    return out.withColumn("route", F.when(on_hot | (F.col("id") % 7 != 1), F.col("route")))
+
+
 # --- dated JSON feed --------------------------------------------------------------
 
 def json_feed(events: DataFrame) -> DataFrame:
@@ -186,21 +192,40 @@ def json_feed(events: DataFrame) -> DataFrame:
 
 def routing_pages(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Landed responses of the routing feed's three endpoints
-    (``endpoint, planned_date, http_status, body``): one page per vehicle,
-    route and visit, each a JSON array with one object. Vehicles are listed on
+    (``endpoint, planned_date, http_status, body``): the objects of a day come
+    in pages by blocks of PAGE_KEYS vehicle or route ids. Vehicles are listed on
     three fetch days (1998-01-01..03); routes and visits on their planned day.
-    NULL fields are left out of the object, as the feed omits them."""
-    def pages(df: DataFrame, endpoint: str, day: Column) -> DataFrame:
+    NULL fields are left out of the object, as the feed omits them.
+
+    Every 10th vehicle is also in pages that must not be read, under another
+    name: status 500, no status, cut off, and days outside 1990..2030; each of
+    its days has an empty page too."""
+    def pages(df: DataFrame, endpoint: str, day: Column, key: str = "id") -> DataFrame:
         obj = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-        return df.select(F.lit(endpoint).alias("endpoint"), day.alias("planned_date"),
-                         F.lit(200).alias("http_status"), F.concat(F.lit("["), obj, F.lit("]")).alias("body"))
+        body = F.concat(F.lit("["), F.array_join(F.collect_list("obj"), ", "), F.lit("]"))
+        return df.select(day.alias("planned_date"), F.expr(f"`{key}` div {PAGE_KEYS}").alias("block"), obj.alias("obj")) \
+            .groupBy("planned_date", "block").agg(body.alias("body")) \
+            .select(F.lit(endpoint).alias("endpoint"), "planned_date", F.lit(200).alias("http_status"), "body")
+
+    def unusable() -> DataFrame:
+        c = F.col("c_custkey")
+        obj = F.concat(F.lit('{"id": '), _s(c), F.lit(', "name": "stray"}'))
+        page, day = F.concat(F.lit("["), obj, F.lit("]")), F.lit("1998-01-02").cast("date")
+        kinds = [(day, F.lit(500), page), (day, _null("int"), page), (day, F.lit(200), F.concat(F.lit("["), obj)),
+                 (day, F.lit(200), F.lit("[]")), (F.lit("1989-12-31").cast("date"), F.lit(200), page),
+                 (F.lit("2031-01-01").cast("date"), F.lit(200), page)]
+        kind = F.explode(F.array(*[F.struct(d.alias("planned_date"), s.alias("http_status"), b.alias("body"))
+                                   for d, s, b in kinds]))
+        return customer.where(c % 10 == 0).select(F.lit("vehicles").alias("endpoint"), kind.alias("p")) \
+            .select("endpoint", "p.*")
 
     veh = vehicles_raw(customer)
     rts = routes_raw(orders).drop("copy_no")
     vis = visits_raw(lineitem, orders)
     return pages(veh, "vehicles", F.date_add(F.lit("1998-01-01").cast("date"), F.col("fetch_day"))) \
         .unionByName(pages(rts, "routes", F.col("planned_date"))) \
-        .unionByName(pages(vis, "visits", F.col("planned_date")))
+        .unionByName(pages(vis, "visits", F.col("planned_date"), "route")) \
+        .unionByName(unusable())
 
 
 def land_routing_pages(spark: SparkSession, customer: DataFrame, orders: DataFrame, lineitem: DataFrame,

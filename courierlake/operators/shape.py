@@ -61,10 +61,6 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.drop(*[c for c in columns if c in df.columns])
-
-
 # --- P4: header normalisation -------------------------------------------------
 
 _NON_ALNUM = re.compile(r"[^0-9A-Za-z]+")
@@ -149,7 +145,9 @@ def drop_empty_columns(df: DataFrame, order_by: str | None = None,
     union decides the same column set as a per-group drop followed by the
     union. The output schema depends on the data, so this runs one eager
     aggregate; the caller should hand in a frame that is cheap to re-read
-    (a scan, or a checkpointed frame).
+    (a scan, or a checkpointed frame). A frame without rows keeps its columns.
     """
     survivors = non_null_columns(df, order_by=order_by, exclude=keep)
+    if not survivors and df.isEmpty():
+        survivors = [c for c in df.columns if c != order_by and c not in keep]
     return df.select(*[F.col(q(c)) for c in list(keep) + survivors])

@@ -108,9 +108,10 @@ VISIT_EXPR = {
 }
 
 
-def visit_mart_sql(account: int, text_dates: bool = False) -> str:
+def visit_mart_sql(account: int, text_dates: bool = False, hot: bool = False) -> str:
     """The visit mart; ``text_dates`` keeps planned dates as ISO text (the
-    feed's JSON pages carry them as text)."""
+    feed's JSON pages carry them as text); ``hot`` puts a third of the visits
+    on one route and leaves some without a route."""
     cols = config.VISIT_COLUMNS_ACCOUNT_1 if account == 1 else config.VISIT_COLUMNS_ACCOUNT_2
     names = ["order_visit" if c == "order" else c for c in cols]
     expr = dict(VISIT_EXPR)
@@ -119,15 +120,22 @@ def visit_mart_sql(account: int, text_dates: bool = False) -> str:
         expr["planned_date"] = "strftime(o_orderdate, '%Y-%m-%d')"
         routes = routes.replace("CAST(o_orderdate AS DATE) AS planned_date",
                                 "strftime(o_orderdate, '%Y-%m-%d') AS planned_date")
+    if hot:
+        expr["route"] = "CASE WHEN l_partkey % 3 = 0 THEN hot_key WHEN l_partkey % 7 <> 1 THEN l_orderkey END"
+        for name, value in (("vehicle", "hot_cust"), ("driver", "hot_cust % 7"), ("planned_date", "hot_day")):
+            expr[name] = f"CASE WHEN l_partkey % 3 = 0 THEN {value} ELSE {expr[name]} END"
     vis = ",\n  ".join(f"{expr[n]} AS {n}" for n in names)
     keys = " AND ".join(f"vis.{k} IS NOT DISTINCT FROM rv.{k}" for k in config.VISIT_ROUTE_KEYS)
     return f"""
 WITH veh AS ({VEHICLES_SQL}),
 rts AS ({routes}),
+hot AS (
+  SELECT o_orderkey AS hot_key, o_custkey AS hot_cust, CAST(o_orderdate AS DATE) AS hot_day FROM orders
+  WHERE o_orderkey % 5 <> 0 AND o_orderkey % 11 <> 0 ORDER BY o_orderkey LIMIT 1),
 rv AS (SELECT r.*, v.name, v.color FROM rts r JOIN veh v ON r.vehicle IS NOT DISTINCT FROM v.vehicle),
 vis AS (
   SELECT {vis}
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey{", hot" if hot else ""})
 SELECT vis.*, {label_sql('vis.checkout_observation')} AS Observaciones,
        {", ".join("rv." + c for c in ROUTE_OUT)}
 FROM vis LEFT JOIN rv ON {keys}
@@ -302,11 +310,13 @@ FROM events WHERE event_id % 10 < 4
     "q04_vehicle_dimension": VEHICLES_SQL,
     "q05_visit_mart": visit_mart_sql(1),
     "q05b_visit_mart_from_pages": visit_mart_sql(1, text_dates=True),
+    "q05c_visit_mart_salted": visit_mart_sql(1, hot=True),
     "q06_visit_mart_account2": visit_mart_sql(2),
     "q07_movement_history": HISTORY_SQL,
     "q07b_movement_history_date_only": HISTORY_SQL.replace(
         "CASE WHEN e.event_id % 10 IN (1, 4, 8, 9) THEN date_trunc('second', e.ts) END AS movimiento_fecha",
         "CAST(NULL AS TIMESTAMP) AS movimiento_fecha"),
+    "q07c_movement_history_raw": HISTORY_SQL,
     "q08_stamp_parse": """
 SELECT event_id, CASE WHEN event_id % 10 IN (1, 4, 8, 9) THEN date_trunc('second', ts) END AS movimiento_fecha
 FROM events
@@ -325,6 +335,7 @@ FROM orders
 """,
     "q12_export_consolidation": EXPORT_SQL,
     "q12b_export_consolidation_csv": EXPORT_SQL,
+    "q12c_export_recent_windows": EXPORT_SQL.replace("k <= kmax", "k <= least(kmax, 9)"),
     "q13_daily_spine": """
 SELECT CAST(g AS DATE) AS day, strftime(CAST(g AS DATE), '%Y-%m-%d') AS day_text
 FROM (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events) b,

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courierlake import config
+from courierlake.functions.ranges import backward_windows
 from courierlake.operators.shape import cast_text, drop_empty_columns, normalise_headers
 from courierlake.sources.landed import gate_exports, read_delimited_exports, read_exports, union_schema
 
@@ -26,22 +28,38 @@ def consolidate(exports: DataFrame, window_col: str = "window_start") -> DataFra
     return drop_empty_columns(df, order_by=order)
 
 
-def consolidated_export(spark: SparkSession, root: str, window_col: str = "window_start") -> DataFrame:
+def asked_windows(manifest: DataFrame, run_date, floor=None, include_partial: bool = False,
+                  window_col: str = "window_start") -> DataFrame:
+    """The manifest rows of the backward windows between ``run_date`` and
+    ``floor`` (``config.EXPORT_FLOOR`` if not given; ISO text or dates); all
+    rows without a run date."""
+    if run_date is None:
+        return manifest
+    bounds = manifest.sparkSession.range(1).select(
+        F.lit(run_date).cast("date").alias("run_date"), F.lit(floor or config.EXPORT_FLOOR).cast("date").alias("floor"))
+    asked = backward_windows(bounds, include_partial=include_partial).select(F.col("window_start").alias(window_col))
+    return manifest.join(asked, window_col, "left_semi")
+
+
+def consolidated_export(spark: SparkSession, root: str, window_col: str = "window_start", *,
+                        run_date=None, floor=None, include_partial: bool = False) -> DataFrame:
     """Consolidate the landed export under ``root``: ``root/data`` holds the
     windows (``window_start=<date>/``), ``root/manifest`` one response row per
     requested window; windows whose response was not a spreadsheet are left
-    out (as the feed skips them)."""
-    manifest = spark.read.parquet(f"{root}/manifest")
+    out (as the feed skips them), as are windows that :func:`asked_windows`
+    does not ask for; their partitions are pruned."""
+    manifest = asked_windows(spark.read.parquet(f"{root}/manifest"), run_date, floor, include_partial, window_col)
     schema = union_schema(manifest) if "schema" in manifest.columns else None
     exports = read_exports(spark, f"{root}/data", schema=schema)
     return consolidate(gate_exports(exports, manifest, window_col), window_col)
 
 
 def consolidated_delimited_export(spark: SparkSession, root: str,
-                                  window_col: str = "window_start") -> DataFrame:
+                                  window_col: str = "window_start", *,
+                                  run_date=None, floor=None, include_partial: bool = False) -> DataFrame:
     """As :func:`consolidated_export`, for windows landed as delimited files
     with a header each (``root/data``) and a manifest that records every
     window's response and header (``root/manifest``)."""
-    manifest = spark.read.parquet(f"{root}/manifest")
+    manifest = asked_windows(spark.read.parquet(f"{root}/manifest"), run_date, floor, include_partial, window_col)
     exports = read_delimited_exports(spark, f"{root}/data", manifest, window_col)
     return consolidate(gate_exports(exports, manifest, window_col), window_col)

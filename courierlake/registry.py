@@ -8,6 +8,7 @@ operators over the whole tables. The matching DuckDB SQL is in
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,8 @@ PIVOT_CODES = ["click", "purchase", "view", "error", "signup"]
 PIVOT_RENAMES = {"click": "fecha_click", "purchase": "fecha_purchase", "view": "fecha_view"}
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    return fx.load(spark, sf_dir, name, spread)
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return fx.load(spark, sf_dir, name)
 
 
 # Landed fixture paths per (application, sf_dir, feed). Landing is a function
@@ -53,11 +54,11 @@ def landed(spark: SparkSession, sf_dir: str, feed: str) -> str:
     if key not in _LANDED:
         if feed == "documents":
             _LANDED[key] = fx.land_documents(spark, _t(spark, sf_dir, "customer"),
-                                             _t(spark, sf_dir, "events", spread=True))
+                                             _t(spark, sf_dir, "events"))
         elif feed == "routing":
             _LANDED[key] = fx.land_routing_pages(spark, _t(spark, sf_dir, "customer"),
-                                                 _t(spark, sf_dir, "orders", spread=True),
-                                                 _t(spark, sf_dir, "lineitem", spread=True))
+                                                 _t(spark, sf_dir, "orders"),
+                                                 _t(spark, sf_dir, "lineitem"))
         elif feed == "exports_csv":
             _LANDED[key] = fx.land_exports_csv(spark, _t(spark, sf_dir, "orders"))
         elif feed == "exports":
@@ -74,14 +75,14 @@ def q01_key_selection(spark, sf_dir):
 
 def q02_json_feed(spark, sf_dir):
     """Gate the dated pages, parse, explode, flatten."""
-    rows = read_dated_json(fx.json_feed(_t(spark, sf_dir, "events", spread=True)), FEED_ITEM,
+    rows = read_dated_json(fx.json_feed(_t(spark, sf_dir, "events")), FEED_ITEM,
                            keep=["planned_date"])
     return flatten(rows, sep="_")
 
 
 def q02b_feed_rejects(spark, sf_dir):
     """The responses the gate turned away, with the reason."""
-    _, rejected = gate_dated(fx.json_feed(_t(spark, sf_dir, "events", spread=True)), FEED_ITEM)
+    _, rejected = gate_dated(fx.json_feed(_t(spark, sf_dir, "events")), FEED_ITEM)
     return rejected.select("endpoint", "planned_date", "http_status", "reason")
 
 
@@ -105,9 +106,9 @@ def q04_vehicle_dimension(spark, sf_dir):
 
 def _mart(spark, sf_dir, account):
     return visit_mart(fx.vehicles_raw(_t(spark, sf_dir, "customer")),
-                      fx.routes_raw(_t(spark, sf_dir, "orders", spread=True)),
-                      fx.visits_raw(_t(spark, sf_dir, "lineitem", spread=True),
-                                    _t(spark, sf_dir, "orders", spread=True)),
+                      fx.routes_raw(_t(spark, sf_dir, "orders")),
+                      fx.visits_raw(_t(spark, sf_dir, "lineitem"),
+                                    _t(spark, sf_dir, "orders")),
                       account=account)
 
 
@@ -124,6 +125,15 @@ def q05b_visit_mart_from_pages(spark, sf_dir):
     return visit_mart_from_pages(pages, account=1, start="1990-01-01", end="2030-12-31")
 
 
+def q05c_visit_mart_salted(spark, sf_dir):
+    """E1 with a third of the visits on one route and visits without a route:
+    vehicles and routes of 200 rows or more are salted."""
+    orders = _t(spark, sf_dir, "orders")
+    visits = fx.hot_visits(fx.visits_raw(_t(spark, sf_dir, "lineitem"), orders), orders)
+    return visit_mart(fx.vehicles_raw(_t(spark, sf_dir, "customer")), fx.routes_raw(orders), visits,
+                      account=1, hot_min_rows=200)
+
+
 def q06_visit_mart_account2(spark, sf_dir):
     """E1, account 2 column list."""
     return _mart(spark, sf_dir, 2)
@@ -140,9 +150,14 @@ def q07b_movement_history_date_only(spark, sf_dir):
     return movement_history(_keys(spark, sf_dir), _documents(spark, sf_dir), with_time=False)
 
 
+def q07c_movement_history_raw(spark, sf_dir):
+    """E2 from the bodies as they arrive: parse, gate, explode in one plan."""
+    return movement_history(_keys(spark, sf_dir), _documents(spark, sf_dir).drop("doc", "doc_keys"))
+
+
 def q08_stamp_parse(spark, sf_dir):
     """Date text + ' ' + time text, exact-format parse."""
-    t = fx.split_times(_t(spark, sf_dir, "events", spread=True))
+    t = fx.split_times(_t(spark, sf_dir, "events"))
     return t.select("event_id", parse_stamp(join_text("fecha", "hora")).alias("movimiento_fecha"))
 
 
@@ -182,6 +197,14 @@ def q12b_export_consolidation_csv(spark, sf_dir):
     return consolidated_delimited_export(spark, landed(spark, sf_dir, "exports_csv"))
 
 
+def q12c_export_recent_windows(spark, sf_dir):
+    """E3 driven by R2: the windows between the run date and a floor 310 days
+    before it (ten whole windows)."""
+    run_date, _ = fx.export_bounds(_t(spark, sf_dir, "orders"))
+    return consolidated_export(spark, landed(spark, sf_dir, "exports"), run_date=run_date,
+                               floor=run_date - datetime.timedelta(days=310))
+
+
 def q13_daily_spine(spark, sf_dir):
     """Every day from the first to the last event day."""
     ev = _t(spark, sf_dir, "events")
@@ -215,9 +238,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q04_vehicle_dimension": q04_vehicle_dimension,
     "q05_visit_mart": q05_visit_mart,
     "q05b_visit_mart_from_pages": q05b_visit_mart_from_pages,
+    "q05c_visit_mart_salted": q05c_visit_mart_salted,
     "q06_visit_mart_account2": q06_visit_mart_account2,
     "q07_movement_history": q07_movement_history,
     "q07b_movement_history_date_only": q07b_movement_history_date_only,
+    "q07c_movement_history_raw": q07c_movement_history_raw,
     "q08_stamp_parse": q08_stamp_parse,
     "q09_outcome_labels": q09_outcome_labels,
     "q10_latest_per_code": q10_latest_per_code,
@@ -225,6 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q11_text_cast": q11_text_cast,
     "q12_export_consolidation": q12_export_consolidation,
     "q12b_export_consolidation_csv": q12b_export_consolidation_csv,
+    "q12c_export_recent_windows": q12c_export_recent_windows,
     "q13_daily_spine": q13_daily_spine,
     "q14_backward_windows": q14_backward_windows,
     "q15_replace_table": q15_replace_table,

@@ -2,7 +2,7 @@ import datetime as dt
 
 from courierlake import config
 from courierlake.operators.shape import cast_text, drop_empty_columns, normalise_headers, union_outer
-from courierlake.plans.export_consolidation import consolidated_export
+from courierlake.plans.export_consolidation import asked_windows, consolidated_export
 from courierlake.session import scratch_path
 from courierlake.sources.landed import read_export_files
 from tests.conftest import explain
@@ -60,3 +60,14 @@ def test_union_schema_from_manifest(spark):
     assert [f.name for f in u.fields] in (["x", "y", "z"], ["x", "z", "y"])
     assert dict((f.name, f.dataType) for f in u.fields) == {"x": T.LongType(), "y": T.StringType(),
                                                               "z": T.DoubleType()}
+
+
+def test_asked_windows_follow_run_date_and_floor(spark):
+    days = [dt.date(2024, 3, 1), dt.date(2024, 1, 30), dt.date(2023, 12, 30), dt.date(2023, 12, 20)]
+    manifest = spark.createDataFrame([(d,) for d in days], "window_start date")
+    def asked(**kw):
+        return sorted(r[0] for r in asked_windows(manifest, "2024-03-31", **kw).collect())
+    assert asked() == sorted(days[:3])
+    assert asked(floor="2024-01-01") == sorted(days[:2])
+    assert asked(floor=dt.date(2023, 12, 20), include_partial=True) == sorted(days)
+    assert asked_windows(manifest, None).count() == 4

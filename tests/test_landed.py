@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 
 from courierlake.sources.landed import (gate_dated, gate_documents, lookup_documents, parse_documents,
                                         read_dated_json, select_keys)
-from courierlake.sources.tables import read_table
 from tests.conftest import SF_SMALL, rows
 
 ITEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("o", T.StructType([
@@ -51,7 +50,7 @@ def test_gate_documents_reasons_and_parse_once(spark):
 
 
 def test_select_keys_distinct_and_pushdown(spark):
-    part = read_table(spark, f"{SF_SMALL}/part.parquet")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
     keys = select_keys(part, "p_name", "p_size", 10, "ring")
     names = [r.tracking for r in keys.collect()]
     assert len(names) == len(set(names)) and all("ring" in n for n in names)
@@ -63,25 +62,3 @@ def test_lookup_documents_semi_join(spark):
     keys = spark.createDataFrame([("a",), ("b",)], "tracking string")
     docs = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3)], "guia string, page int")
     assert rows(lookup_documents(keys, docs)) == [("a", 1), ("a", 2)]
-
-
-def test_read_table_spreads_narrow_scan(spark):
-    df = read_table(spark, f"{SF_SMALL}/orders.parquet", "o_orderkey")
-    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert df.count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
-    assert "hashpartitioning(o_orderkey" in df._jdf.queryExecution().executedPlan().toString()
-    assert df.where(F.col("o_orderkey") < 5).count() == 5
-
-
-def test_spread_leaves_wide_inputs_alone(spark, tmp_path):
-    from courierlake.sources.tables import spread
-    cores = spark.sparkContext.defaultParallelism
-    wide = str(tmp_path / "wide")
-    spark.range(0, 1000, numPartitions=cores * 2).write.parquet(wide)
-    df = spark.read.parquet(wide)
-    assert len(df.inputFiles()) >= cores
-    assert spread(df, "id") is df
-    narrow = str(tmp_path / "narrow")
-    spark.range(0, 1000, numPartitions=1).write.parquet(narrow)
-    assert "hashpartitioning(id" in spread(spark.read.parquet(narrow), "id")._jdf.queryExecution() \
-        .executedPlan().toString()
