@@ -17,7 +17,7 @@ ROUNDS = 8
 
 # The formats that are recognised.
 EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
-PHONE = r"(?:\+1[ .\-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])[2-9]\d{2}[ .\-]\d{4}"
+PHONE = (r"(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?\d{3}[ .\-]?\d{4}|\d{3}[ .\-]\d{3}[ .\-]\d{4}|\d{10})")
 SSN = r"\d{3}-\d{2}-\d{4}"
 DATE = r"\d{4}-\d{2}-\d{2}"
 CARD = r"\d(?:[ \-]?\d){12,18}"
@@ -25,9 +25,9 @@ IPV4 = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 SECRET = r"AKIA[0-9A-Z]{16}|(?:password|token|secret|api_key)\s*[=:]\s*\"?[0-9A-Za-z+/_\-]{8,}\"?"
 _FREE = r"(?<![0-9A-Za-z.\-])"
 _END = r"(?![0-9A-Za-z]|[.\-][0-9])"
-PATTERN = (f"{EMAIL}|(?<![0-9A-Za-z])(?:{SECRET})|{_FREE}(?:{DATE}|{SSN}|{IPV4}|{CARD}){_END}"
+PATTERN = (f"{EMAIL}|(?<![0-9A-Za-z])(?:{SECRET})|{_FREE}{DATE}(?=[Tt]\\d{{2}})|{_FREE}(?:{DATE}|{SSN}|{IPV4}|{CARD}){_END}"
            f"|(?<![0-9A-Za-z.\\-+])(?:{PHONE}){_END}")
-HINT = r"[0-9@]|password|token|secret|api_key"
+HINT = r"[0-9@]|AKIA|password|token|secret|api_key"
 
 # The calendar is permuted in eras of 270 * 270 days from this day on.
 ERA_START, ERA_SIDE = "1900-01-01", 270
@@ -109,14 +109,20 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
                         "card", key), n)
     check = (10 - luhn_sum(card, True) % 10) % 10
     card = _into(m, F.concat(card, check.cast("string")))
-    # Phone: area and exchange 200-999, line 0000-9999: 80000 * 80000 numbers.
+    # Phone: all 10**10 numbers. Area and exchange stay in 000-199 or 200-999,
+    # so a number of the numbering plan stays one; line 0000-9999.
     ten = F.right(d, F.lit(10))
-    number = ((F.substring(ten, 1, 3).cast("bigint") - 200) * 8000000
-              + (F.substring(ten, 4, 3).cast("bigint") - 200) * 10000 + F.substring(ten, 7, 4).cast("bigint"))
-    p = feistel(number, F.lit(80000), F.lit(80000), "phone", key)
+    area, exchange = F.substring(ten, 1, 3).cast("bigint"), F.substring(ten, 4, 3).cast("bigint")
+    def low(x):
+        return F.when(x < 200, 0).otherwise(200)
+    def n_of(x):
+        return F.when(x < 200, 200).otherwise(800)
+    lines = n_of(exchange) * 10000
+    number = (area - low(area)) * lines + (exchange - low(exchange)) * 10000 + F.substring(ten, 7, 4).cast("bigint")
+    p = feistel(number, n_of(area) * 100, n_of(exchange) * 100, "phone", key)
     phone = _into(m, F.concat(F.when(F.length(d) > 10, F.substring(d, 1, 1)).otherwise(""),
-                              (F.floor(p / 8000000) + 200).cast("string"),
-                              (F.floor(F.pmod(p, F.lit(8000000)) / 10000) + 200).cast("string"),
+                              _pad(F.floor(p / lines) + low(area), 3),
+                              _pad(F.floor(F.pmod(p, lines) / 10000) + low(exchange), 3),
                               _pad(F.pmod(p, F.lit(10000)), 4)))
     # Social security number: 898 areas, 99 groups, 9999 serials.
     area = F.substring(d, 1, 3).cast("bigint")
