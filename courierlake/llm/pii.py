@@ -1,7 +1,7 @@
 """PII: format-preserving Feistel pseudonyms, built-in expressions only.
 
-Candidates are cut out of the text by one pattern, validated (Luhn, calendar,
-number ranges), turned into a number of their own domain, permuted by a keyed
+Candidates are cut out of the text by one pattern, runs of digit groups on
+their group borders, validated (Luhn, calendar, number ranges), turned into a number of their own domain, permuted by a keyed
 Feistel network over that domain and written back in the same format. A
 permutation keeps equal values equal and unlike values apart, in every
 document. Mail addresses get a keyed local part; secrets are masked.
@@ -21,13 +21,24 @@ PHONE = (r"(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?\d{3}[ .\-]?\d{4}|\d{3}[ .\-]\d{3}[ .\-
 SSN = r"\d{3}-\d{2}-\d{4}"
 DATE = r"\d{4}-\d{2}-\d{2}"
 CARD = r"\d(?:[ \-]?\d){12,18}"
+CARD_LAYOUT = r"\d{4}([ \-])\d{4}\1\d{4}\1\d{4}|\d{4}([ \-])\d{6}\2\d{4,5}|\d{13,19}"
 IPV4 = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 SECRET = r"AKIA[0-9A-Z]{16}|(?:password|token|secret|api_key)\s*[=:]\s*\"?[0-9A-Za-z+/_\-]{8,}\"?"
 _FREE = r"(?<![0-9A-Za-z.\-])"
 _END = r"(?![0-9A-Za-z]|[.\-][0-9])"
-PATTERN = (f"{EMAIL}|(?<![0-9A-Za-z])(?:{SECRET})|{_FREE}{DATE}(?=[Tt]\\d{{2}})|{_FREE}(?:{DATE}|{SSN}|{IPV4}|{CARD}){_END}"
-           f"|(?<![0-9A-Za-z.\\-+])(?:{PHONE}){_END}")
+# A date before an ISO time, and phones that no run of digit groups holds whole.
+_DATE_TIME = rf"{DATE}(?=[Tt]\d{{2}})"
+_MARKED_PHONE = (r"(?:(?:\+?1[ .\-]?)?\(\d{3}\) ?\d{3}[ .\-]?\d{4}"
+                 r"|\+1[ .\-]?(?:\d{3}[ .\-]\d{3}[ .\-]\d{4}|\d{10}))")
+# Digit groups with one blank, dot or hyphen between, up to a word, a mail
+# address or an ISO time; a last dot or hyphen says that digits and a letter
+# follow. Possessive: Java does not recurse for each group.
+_RUN = (r"(?=\d(?:[ .\-]?\d){3})\d++(?![A-Za-z])"
+        rf"(?:(?![ .\-](?:[A-Za-z0-9._%+\-]*+@|{_DATE_TIME}))[ .\-]\d++(?![A-Za-z]))*+(?:[.\-](?=\d))?")
+PATTERN = (f"{EMAIL}|(?<![0-9A-Za-z])(?:{SECRET})|{_FREE}{_DATE_TIME}"
+           f"|(?<![0-9A-Za-z.\\-+]){_MARKED_PHONE}{_END}|{_FREE}{_RUN}")
 HINT = r"[0-9@]|AKIA|password|token|secret|api_key"
+MAX_GROUPS = 19            # digits, and so groups, of the longest value
 
 # The calendar is permuted in eras of 270 * 270 days from this day on.
 ERA_START, ERA_SIDE = "1900-01-01", 270
@@ -88,6 +99,7 @@ def kind_of(m: Column) -> Column:
     octets = F.split(m, r"\.")
     ok_ip = F.forall(octets, lambda o: o.cast("int") <= 255)
     area, group, serial = F.substring(m, 1, 3), F.substring(m, 5, 2), F.substring(m, 8, 4)
+    card = m.rlike(f"^{CARD}$") & (luhn_sum(_digits(m), False) % 10 == 0)
     ok_ssn = ~area.isin("000", "666") & (area < "900") & (group != "00") & (serial != "0000")
     return (F.when(m.rlike(f"^(?:{EMAIL})$"), "email")
             .when(m.rlike(f"^(?:{SECRET})$"), "secret")
@@ -95,7 +107,69 @@ def kind_of(m: Column) -> Column:
             .when(m.rlike(f"^{SSN}$"), F.when(ok_ssn, "ssn"))
             .when(m.rlike(f"^{IPV4}$"), F.when(ok_ip, "ip"))
             .when(m.rlike(f"^(?:{PHONE})$"), F.lit("phone"))
-            .when(m.rlike(f"^{CARD}$"), F.when(luhn_sum(_digits(m), False) % 10 == 0, "card")))
+            .when(card, F.lit("card")))
+
+
+def values(m: Column, key: str) -> Column:
+    """(found, text) of a match: its values (kind, original, pseudonym) in
+    order, and the match with the pseudonyms in place.
+
+    A run of digit groups holds any number of values, on group borders: cards
+    in a usual layout go first, then dates, phones and the like, then cards in
+    other groupings, from left to right, longer ones first. Beside a dot no
+    value begins or ends, beside a hyphen only a card.
+    """
+    run = m.rlike(f"^(?:{_RUN})$") | m.rlike(r"^[0-9].*[.\-]$")
+    last = F.when(run, F.regexp_extract(m, r"[.\-]$", 0)).otherwise("")
+    groups = F.when(run, F.regexp_extract_all(m, F.lit(r"[ .\-]?[0-9]+"), F.lit(0))).otherwise(F.array(m))
+
+    def bare(x, i):
+        return F.when(i > 0, F.substring(x, F.lit(2), F.length(x))).otherwise(x)
+
+    def tried(s, i):
+        def of(n):
+            text = bare(F.array_join(F.slice(s["g"], i + 1, n), ""), i)
+            left = F.when(i > 0, F.substring(s["g"][i], 1, 1)).otherwise("")
+            right = F.coalesce(F.substring(F.get(s["g"], i + n), 1, 1), s["last"])
+            return F.struct(i.alias("i"), n.alias("n"), text.alias("original"), F.concat(left, right).alias("sides"))
+        return F.transform(F.sequence(F.lit(1), F.least(F.size(s["g"]) - i, F.lit(MAX_GROUPS))), of)
+
+    def judged(c):
+        kind = F.when(~c["sides"].contains("."), kind_of(c["original"]))
+        kind = F.transform(F.array(kind), lambda k: F.when((k == "card") | ~c["sides"].contains("-"), k))[0]
+        rank = F.when(kind != "card", 1).when(c["original"].rlike(f"^(?:{CARD_LAYOUT})$"), 0).otherwise(2)
+        return F.struct(rank.alias("rank"), c["i"].alias("i"), (-c["n"]).alias("less"), c["n"].alias("n"),
+                        kind.alias("kind"), c["original"].alias("original"))
+
+    def taken(acc, c):
+        clash = F.exists(acc, lambda f: (f["i"] < c["i"] + c["n"]) & (c["i"] < f["i"] + f["n"]))
+        return F.when(clash, acc).otherwise(F.concat(acc, F.array(c)))
+
+    def finish(s):
+        every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["g"]) - 1), lambda i: tried(s, i)))
+        short = F.filter(every, lambda c: (F.size(s["g"]) == 1) | (F.length(_digits(c["original"])).between(4, MAX_GROUPS)))
+        good = F.array_sort(F.filter(F.transform(short, judged), lambda c: c["kind"].isNotNull()))
+        none = F.array().cast("array<struct<rank:int,i:int,less:int,n:int,kind:string,original:string>>")
+        found = F.aggregate(good, none, taken)
+        return F.struct(s["g"].alias("g"), s["last"].alias("last"), F.transform(
+            F.array_sort(F.transform(found, lambda f: F.struct(f["i"].alias("i"), f["n"].alias("n"), f["kind"].alias("kind"),
+                                                               f["original"].alias("original")))),
+            lambda f: F.struct(f["i"].alias("i"), f["n"].alias("n"), f["kind"].alias("kind"), f["original"].alias("original"),
+                               pseudonym(f["original"], f["kind"], key).alias("pseudonym"))).alias("f"))
+
+    def written(s):
+        def of(x, i):
+            own = F.filter(s["f"], lambda f: (f["i"] <= i) & (i < f["i"] + f["n"]))
+            new = F.when(F.get(own, F.lit(0))["i"] < i, "").otherwise(F.concat(
+                F.when(i > 0, F.substring(x, 1, 1)).otherwise(""), F.get(own, F.lit(0))["pseudonym"]))
+            return F.when(F.size(own) > 0, new).otherwise(x)
+        return F.struct(F.transform(s["f"], lambda f: F.struct(f["kind"].alias("kind"), f["original"].alias("original"),
+                                                               f["pseudonym"].alias("pseudonym"))).alias("found"),
+                        F.concat(F.array_join(F.transform(s["g"], of), ""), s["last"]).alias("text"))
+
+    # Arrays of one element: each step is computed once, however often it is used.
+    start = F.array(F.struct(groups.alias("g"), last.alias("last")))
+    return F.transform(F.transform(start, finish), written)[0]
 
 
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
@@ -162,14 +236,11 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY,
     text = F.col(text_col)
     hint = F.coalesce(text.rlike(HINT), F.lit(False))
     cut = docs.withColumn("_m", F.when(hint, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
-    cut = cut.withColumn("_f", F.when(F.size("_m") > 0, F.transform(
-        F.transform("_m", lambda m: F.struct(kind_of(m).alias("kind"), m.alias("original"))),
-        lambda x: F.struct(x["kind"].alias("kind"), x["original"].alias("original"),
-                           pseudonym(x["original"], x["kind"], key).alias("pseudonym")))))
+    cut = cut.withColumn("_f", F.when(F.size("_m") > 0, F.transform("_m", lambda m: values(m, key))))
     parts = F.split(text, PATTERN, -1)
-    new = F.array_join(F.zip_with(parts, F.concat(F.transform("_f", lambda x: x["pseudonym"]), F.array(F.lit(""))),
+    new = F.array_join(F.zip_with(parts, F.concat(F.transform("_f", lambda x: x["text"]), F.array(F.lit(""))),
                                   lambda a, b: F.concat(a, b)), "")
-    found = F.coalesce(F.filter("_f", lambda x: x["kind"].isNotNull()),
+    found = F.coalesce(F.flatten(F.transform("_f", lambda x: x["found"])),
                        F.array().cast("array<struct<kind:string,original:string,pseudonym:string>>"))
     return (cut.withColumn(out, F.struct(F.when(F.col("_f").isNull(), text).otherwise(new).alias("text"),
                                          found.alias("found"))).drop("_m", "_f"))

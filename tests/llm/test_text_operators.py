@@ -231,6 +231,26 @@ def test_phone_date_and_key_forms(spark):
     assert texts[0][3:13] == texts[1][2:12] == texts[2][:10] != "1987-02-28"
 
 
+def test_cards_in_runs_of_digit_groups(spark):
+    plain, spaced = "4207051279108084", "4207 0512 7910 8084"
+    texts = [f"{spaced} 123 ok", f"{plain} 12/27", f"order 7 {plain}", f"5 {spaced}", f"call 12 375 555 4393 {spaced}",
+             f"{plain} {spaced} 1987-02-28 and", f"{spaced} 7bob@x.com", "4207-0512-7910-8084-123", f"{spaced} 3.14kg",
+             "1 2 3 4 5 6 7 8", "10.20.30.40 " + spaced, "4207051279108085 000-45-6789"]
+    card, phone = ("card", plain), ("phone", "375 555 4393")
+    want = [[("card", spaced)], [card], [card], [("card", spaced)], [phone, ("card", spaced)],
+            [card, ("card", spaced), ("date", "1987-02-28")], [("card", spaced), ("email", "7bob@x.com")],
+            [("card", spaced.replace(" ", "-"))], [("card", spaced)], [], [("ip", "10.20.30.40"), ("card", spaced)], []]
+    found, out = private(spark, texts)
+    assert found == want
+    new = feistel(420705127910808, 10 ** 8, 10 ** 7, "card", pii.KEY)
+    for f, text in zip(found, out):
+        assert any(k == "card" for k, _ in f) == (str(new).zfill(15) in re.sub("[ -]", "", text))
+    assert out[0].endswith(" 123 ok") and out[1].endswith(" 12/27") and out[2].startswith("order 7 ")
+    assert out[8].endswith(" 3.14kg") and out[3].startswith("5 ") and out[9] == texts[9] and out[11] == texts[11]
+    found, out = private(spark, ["12 " * 3000 + spaced])  # no recursion for each group
+    assert ("card", spaced) in found[0] and spaced not in out[0]
+
+
 def test_pseudonyms_are_a_permutation(spark):
     from pyspark.sql import functions as F
 
