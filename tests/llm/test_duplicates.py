@@ -106,6 +106,25 @@ def test_passages(spark, docs):
     assert not {r for r in pairs if {11, 14} & set(r)}
 
 
+def longest_run(a, b):
+    best, row = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0] + [row[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+        best = max(best, *row)
+    return best
+
+
+def test_passages_whose_parts_stand_in_earlier_documents(spark):
+    passage = prose(41, 80, 10 ** 6).split()
+    parts = [passage[:45], passage[18:63], passage[35:]]
+    bodies = {1: parts[0], 2: parts[1], 3: parts[2], 10: passage, 11: parts[0], 12: parts[1], 13: parts[2], 14: parts[1], 20: passage}
+    rows = [(i, " ".join([prose(100 + i, 70, 10 ** 6), *body, prose(200 + i, 70, 10 ** 6)])) for i, body in bodies.items()]
+    want = {(i, j) for i, x in rows for j, y in rows if j < i and longest_run(x.split(), y.split()) >= chains.MIN_WORDS}
+    out = chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert want == {(20, 10)} and [(r.doc_id, r.ref_doc_id) for r in out] == [(20, 10)]
+    assert (out[0].start, out[0].end, out[0].ref_start, out[0].ref_end, out[0].n_matched) == (70, 150, 70, 150, 80)
+
+
 def test_chain_is_the_best_by_brute_force():
     rng = random.Random(5)
     for _ in range(30):
