@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import chains, chat, decontaminate, langid, neardup, packing, pii, quality, sql, suffixes, wrapper
+from courierlake.llm import (chains, chat, decontaminate, langid, manifest, neardup, packing, pii, quality, sql,
+                             suffixes, wrapper)
 from courierlake.llm.common import ship, table
 
 
@@ -85,6 +86,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of the documents, with every proof folded again from a
+    leaf that is tampered with where the id's checksum is a multiple of 7."""
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    changed = manifest.digest_of(F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text"))
+    found = manifest.manifest(docs, carry={
+        "changed": F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, changed)
+        .otherwise(manifest.digest_of(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]))})
+    folded = manifest.fold(F.col("carried.changed"), F.col("path"))
+    return (found.withColumn("folded_root", folded)
+            .select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -96,7 +112,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_wrapper, op2_line_frequency, op3_decontamination, op4_minhash, op5_suffix_merge, op6_prefix_targets, op7_pseudonyms, op8_collinear_chains,
-        op9_language, op10_packing)}
+        op9_language, op10_packing, op11_merkle)}
 
 ORACLE_SQL: dict[str, str] = {"op2_line_frequency": sql.OP2, "op3_decontamination": sql.OP3,
                               "op4_minhash": sql.OP4, "op6_prefix_targets": sql.OP6}
