@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import (chains, chat, decontaminate, langid, manifest, neardup, packing, pii, quality, sql,
+from courierlake.llm import (chains, chat, decontaminate, exactdup, langid, manifest, neardup, packing, pii, quality, sql,
                              suffixes, wrapper)
 from courierlake.llm.common import ship, table
 
@@ -101,6 +101,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicates of every document, by polynomial fingerprints and a
+    comparison chunk by chunk."""
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -112,7 +118,8 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_wrapper, op2_line_frequency, op3_decontamination, op4_minhash, op5_suffix_merge, op6_prefix_targets, op7_pseudonyms, op8_collinear_chains,
-        op9_language, op10_packing, op11_merkle)}
+        op9_language, op10_packing, op11_merkle,
+        op12_fingerprints)}
 
 ORACLE_SQL: dict[str, str] = {"op2_line_frequency": sql.OP2, "op3_decontamination": sql.OP3,
                               "op4_minhash": sql.OP4, "op6_prefix_targets": sql.OP6}
