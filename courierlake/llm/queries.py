@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.llm import (chains, chat, decontaminate, exactdup, langid, manifest, neardup, packing, pii, quality, sql,
-                             suffixes, wrapper)
+                             suffixes, trie, wrapper)
 from courierlake.llm.common import ship, table
 
 
@@ -107,6 +107,11 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations, one row a node."""
+    return trie.prefix_trie(trie.branched(trie.turns_of(table(spark, sf_dir, "conversations"))))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -119,7 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_wrapper, op2_line_frequency, op3_decontamination, op4_minhash, op5_suffix_merge, op6_prefix_targets, op7_pseudonyms, op8_collinear_chains,
         op9_language, op10_packing, op11_merkle,
-        op12_fingerprints)}
+        op12_fingerprints, op13_prefix_trie)}
 
 ORACLE_SQL: dict[str, str] = {"op2_line_frequency": sql.OP2, "op3_decontamination": sql.OP3,
                               "op4_minhash": sql.OP4, "op6_prefix_targets": sql.OP6}
