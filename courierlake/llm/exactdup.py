@@ -76,8 +76,10 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, chunk: int, bases: tup
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text.alias("text"))
     # (?s) lets "." stand for a line break, too; an empty text is one empty chunk.
     parts = F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % chunk), F.lit(0))
-    cut = rows.select("row", "id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"),
-                      F.posexplode(F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(parts)).alias("k", "chunk"))
+    # The digest of the whole text is taken below the explode: a chunk's row carries no text.
+    cut = (rows.select("row", "id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"),
+                       F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(parts).alias("parts"))
+           .select("row", "id", "sha", F.posexplode("parts").alias("k", "chunk")))
     return cut.withColumn("f", hashed("chunk")).select("row", "id", "sha", "k", "chunk", "f.*")
 
 

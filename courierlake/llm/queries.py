@@ -127,4 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op12_fingerprints, op13_prefix_trie)}
 
 ORACLE_SQL: dict[str, str] = {"op2_line_frequency": sql.OP2, "op3_decontamination": sql.OP3,
-                              "op4_minhash": sql.OP4, "op6_prefix_targets": sql.OP6}
+                              "op4_minhash": sql.OP4, "op6_prefix_targets": sql.OP6,
+                              "op11_merkle": sql.OP11, "op12_fingerprints": sql.OP12, "op13_prefix_trie": sql.OP13}

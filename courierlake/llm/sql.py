@@ -85,3 +85,88 @@ SELECT conv_id, count(*) AS n_turns,
        sum(CASE WHEN role = 'assistant' OR back = 1 THEN upto ELSE 0 END)::BIGINT AS formatted_chars
 FROM w GROUP BY conv_id
 """
+
+# CRC-32 of ASCII text: table of 256 entries made by eight shifts each.
+_CRC = """SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+                    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+           FROM (SELECT unnest(range(256))::BIGINT AS i)"""
+
+
+def _crc32(text: str) -> str:
+    """DuckDB expression over column t of _CRC: unsigned CRC-32 of ASCII text."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    step = "xor(c >> 8, t[((xor(c, b)) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+_MORE = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 7 = 0 THEN n_chars + 1 ELSE n_chars END"
+
+OP11 = rf"""
+WITH RECURSIVE crc AS MATERIALIZED ({_CRC}),
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '-') AS tree,
+       {_leaf('n_chars')} AS leaf, {_leaf(_MORE)} AS changed FROM documents, crc),
+l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS i FROM d),
+n AS (SELECT tree, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY tree) AS size FROM l
+      UNION ALL
+      SELECT tree, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((size + 1) // 2)
+      FROM n WHERE size > 1 GROUP BY tree, level, i // 2),
+s AS MATERIALIZED (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i,
+                          count(*) OVER () AS size FROM n WHERE size = 1),
+u AS (SELECT 0 AS level, i, subroot AS h, size FROM s
+      UNION ALL
+      SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((size + 1) // 2)
+      FROM u WHERE size > 1 GROUP BY level, i // 2),
+p AS (SELECT rid, tree, 0 AS level, i, changed AS own, '' AS proof, count(*) OVER (PARTITION BY tree) AS size FROM l
+      UNION ALL
+      SELECT p.rid, p.tree, p.level + 1, p.i // 2, sha256(CASE WHEN n.h IS NULL THEN own WHEN p.i % 2 = 1 THEN n.h || own
+             ELSE own || n.h END), proof || coalesce(n.h, ''), (p.size + 1) // 2
+      FROM p LEFT JOIN n ON n.tree = p.tree AND n.level = p.level AND n.i = xor(p.i, 1) WHERE p.size > 1),
+v AS (SELECT p.rid, 0 AS level, s.i, p.own, p.proof, s.size, s.subroot FROM p JOIN s USING (tree) WHERE p.size = 1
+      UNION ALL
+      SELECT v.rid, v.level + 1, v.i // 2, sha256(CASE WHEN u.h IS NULL THEN own WHEN v.i % 2 = 1 THEN u.h || own
+             ELSE own || u.h END), proof || coalesce(u.h, ''), (v.size + 1) // 2, v.subroot
+      FROM v LEFT JOIN u ON u.level = v.level AND u.i = xor(v.i, 1) WHERE v.size > 1)
+SELECT l.doc_id, l.leaf, v.subroot, u.h AS root, sha256(v.proof) AS proof_sha256, v.own AS folded_root,
+       v.own = u.h AS verified
+FROM l JOIN v ON v.rid = l.rid AND v.size = 1 JOIN u ON u.size = 1
+"""
+
+OP12 = r"""
+WITH n AS (SELECT doc_id, row_number() OVER () AS rid,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST, rid)
+"""
+
+OP13 = rf"""
+WITH crc AS MATERIALIZED ({_CRC}),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT conv_id, list({{'k': length(role) || ':' || role || text, 'n': length(text)}}
+        ORDER BY turn NULLS FIRST, left(sha256(length(role) || ':' || role || text), 32)) AS s FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, s, conv_id - conv_id % 100 AS family, {_crc32('conv_id::VARCHAR')} % 6 AS h FROM c, crc),
+r AS MATERIALIZED (SELECT h.conv_id, coalesce(c.s, [])[1:h.h] || h.s[h.h + 1:] AS s
+                   FROM h LEFT JOIN c ON c.conv_id = h.family),
+m AS MATERIALIZED (SELECT conv_id, len(s) AS size, d, CASE WHEN d = 0 THEN [] ELSE list_transform(s[1:d], lambda x: x.k) END AS path,
+        CASE WHEN d = 0 THEN 0 ELSE s[d].n END AS n FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM r)),
+g AS MATERIALIZED (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = d), '') AS ends
+      FROM m GROUP BY path, d),
+k AS (SELECT path[:d - 1] AS path, count(*) AS n_children FROM g WHERE d > 0 GROUP BY ALL),
+w AS MATERIALIZED (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k USING (path)),
+x AS (SELECT CASE WHEN e = 0 THEN [] ELSE path[:e] END AS path, sum((n_convs - 1) * n)::BIGINT AS saved_tokens,
+             count(*) FILTER (WHERE n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM w) GROUP BY ALL)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, x.n_leaves, x.saved_tokens,
+       sha256(w.ends) AS ends_sha256
+FROM w JOIN x USING (path) LEFT JOIN w p ON w.d > 0 AND p.d = w.d - 1 AND p.path = w.path[:w.d - 1]
+"""
