@@ -6,32 +6,86 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from courierlake.session import scratch_path
+from courierlake.operators.shape import q
+from courierlake.operators.snapshots import read_snapshot, replace_folder
 
 # The feeds' write modes and Spark's names for them.
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists",
          "overwrite": "overwrite", "errorifexists": "errorifexists"}
 
 
-def _swap_in(df: DataFrame, staging: str, target: str) -> None:
-    """Put the finished folder ``staging`` in the place of ``target``: the old
-    folder is set aside, and deleted only when the new one stands."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    new, old, aside = path(staging), path(target), path(staging + "-old")
-    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    had = fs.exists(old)
-    if had and not fs.rename(old, aside):
-        raise OSError(f"cannot set {target} aside")
-    if not fs.rename(new, old):
-        if had:
-            fs.rename(aside, old)
-        raise OSError(f"cannot move {staging} to {target}")
-    if had:
-        fs.delete(aside, True)
-    spark.catalog.refreshByPath(target)
+def _quoted(name: str) -> str:
+    return ".".join(q(p) for p in name.replace("`", "").split("."))
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a catalog table (None for tables without one)."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").collect()}
+    return rows.get("Location")
+
+
+def _database_folder(spark: SparkSession, name: str) -> str:
+    database = name.replace("`", "").rsplit(".", 1)[0] if "." in name else spark.catalog.currentDatabase()
+    rows = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED {_quoted(database)}").collect()}
+    return rows["Location"].rstrip("/")
+
+
+def stage_table(df: DataFrame, name: str, fmt: str, options: dict[str, str], partition_by: list[str] | None) -> str:
+    """Write the new rows of table ``name`` to a folder of their own."""
+    folder = f"{_database_folder(df.sparkSession, name)}/{name.replace('`', '').rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
+    out = df.write.format(fmt).mode("errorifexists").options(**options)
+    (out.partitionBy(*partition_by) if partition_by else out).save(folder)
+    return folder
+
+
+def point_table(spark: SparkSession, name: str, folder: str, df: DataFrame, fmt: str,
+                partition_by: list[str] | None) -> None:
+    """Make catalog table ``name`` the rows in ``folder``.
+
+    A table with the same columns is pointed at the folder: one catalog
+    operation. Otherwise the new table gets a name of its own, the old one is
+    set aside, and the new one takes its name; if that fails the old one takes
+    it back."""
+    table = _quoted(name)
+    partitioned = f" PARTITIONED BY ({', '.join(map(q, partition_by))})" if partition_by else ""
+    columns = ", ".join(f"{q(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    create = "CREATE TABLE {} (" + columns + f") USING {fmt}" + partitioned + f" LOCATION '{folder}'"
+    if not spark.catalog.tableExists(name.replace("`", "")):
+        spark.sql(create.format(table))
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
+        return
+    old = spark.table(name).schema
+    same = [(f.name, f.dataType) for f in old.fields] == [(f.name, f.dataType) for f in df.schema.fields]
+    if same and not partition_by and spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
+            "col_name = 'Provider'").first()["data_type"].lower() == fmt:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+        return
+    tag = uuid.uuid4().hex[:12]
+    fresh, aside = f"{name}__new_{tag}", f"{name}__old_{tag}"
+    spark.sql(create.format(_quoted(fresh)))
+    if partition_by:
+        spark.catalog.recoverPartitions(fresh)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {_quoted(aside)}")
+    try:
+        spark.sql(f"ALTER TABLE {_quoted(fresh)} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {_quoted(aside)} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {_quoted(aside)}")
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def read_target(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of a target that :func:`replace_table` wrote."""
+    return read_snapshot(spark, target, fmt) if "/" in target else spark.table(target)
 
 
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "replace",
@@ -41,35 +95,29 @@ def replace_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str =
 
     ``mode``: ``replace`` | ``append`` | ``fail``. With ``skip_if_empty`` an
     empty frame leaves the target untouched (a bounded ``isEmpty`` probe).
-    A replacement is computed in full before the old data is touched: a path
-    is written to a sibling folder and swapped in, a table is written to the
-    shared checkpoint folder first. A job that fails, or reads what it
-    replaces, leaves the old rows readable. Returns True when something was
+    The new rows are written in full beside the old ones before anything
+    changes, so a job that fails or reads what it replaces leaves the old rows
+    readable. A path is then replaced by one commit (see
+    :mod:`courierlake.operators.snapshots`; the version before stays for
+    readers that have begun), a table by pointing it at the new folder; a table
+    that changes its columns, or is partitioned, changes its name for a moment.
+    Read targets with :func:`read_target`. Returns True when something was
     written.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     if skip_if_empty and df.isEmpty():
         return False
-    is_path = "/" in target
-    how = MODES[mode]
-
-    def writer(frame: DataFrame, how: str):
-        out = frame.write.format(fmt).mode(how).options(**(options or {}))
-        return out.partitionBy(*partition_by) if partition_by else out
-
-    if how == "overwrite" and is_path:
-        target = target.rstrip("/")
-        parent, _, name = target.rpartition("/")
-        staging = f"{parent}/.{name}-{uuid.uuid4().hex[:12]}"
-        writer(df, how).save(staging)
-        _swap_in(df, staging, target)
+    how, options, spark = MODES[mode], dict(options or {}), df.sparkSession
+    if "/" in target:
+        replace_folder(df, target, fmt, how, options, partition_by)
     elif how == "overwrite":
-        staging = scratch_path(df.sparkSession, "replace")
-        df.write.parquet(staging)
-        writer(df.sparkSession.read.schema(df.schema).parquet(staging), how).saveAsTable(target)
-    elif is_path:
-        writer(df, how).save(target)
+        old = _location(spark, target) if spark.catalog.tableExists(target) else None
+        folder = stage_table(df, target, fmt, options, partition_by)
+        point_table(spark, target, folder, df, fmt, partition_by)
+        if old and old.rstrip("/") != folder:
+            drop_folder(spark, old)
     else:
-        writer(df, how).saveAsTable(target)
+        out = df.write.format(fmt).mode(how).options(**options)
+        (out.partitionBy(*partition_by) if partition_by else out).saveAsTable(target)
     return True

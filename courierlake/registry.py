@@ -19,7 +19,7 @@ from courierlake import fixtures as fx
 from courierlake.functions.ranges import backward_windows, date_spine
 from courierlake.functions.values import join_text, label_codes, parse_stamp
 from courierlake.operators.shape import cast_text, flatten
-from courierlake.operators.sinks import replace_table
+from courierlake.operators.sinks import read_target, replace_table
 from courierlake.plans.export_consolidation import consolidated_delimited_export, consolidated_export
 from courierlake.plans.movement_history import (latest_per_code, movement_history, tracking_keys,
                                                 usable_documents)
@@ -225,9 +225,9 @@ def q15_replace_table(spark, sf_dir):
     target = scratch_path(spark, "tables") + "/vehicles"
     dim = q04_vehicle_dimension(spark, sf_dir)
     replace_table(dim, target, mode="replace")
-    replace_table(spark.read.parquet(target), target, mode="replace")
+    replace_table(read_target(spark, target), target, mode="replace")
     replace_table(dim.limit(0), target, mode="replace", skip_if_empty=True)
-    return spark.read.parquet(target)
+    return read_target(spark, target)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
