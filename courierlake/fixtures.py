@@ -422,7 +422,9 @@ def export_rows(orders: DataFrame, run_date, floor) -> DataFrame:
     variants: ``Obs Adicional`` NULL in every 3rd window, ``Coordenadas
     Entrega``, ``Fecha Visita4``, ``Observacion Visita3`` and ``Observacion
     Visita4`` NULL everywhere, ``Canal`` an extra column not in the sheet
-    list. (``Telefono`` is left out of every 4th window by the writer.)
+    list. (``Telefono`` is left out of every 4th window by the writer, which
+    also writes ``Peso (Kg)`` and ``Contador Visitas`` of every 5th as the
+    fractions that only those sheets hold.)
     """
     run, flo = F.lit(run_date).cast("date"), F.lit(floor).cast("date")
     seq = window_of("o_orderdate", run, flo)
@@ -477,6 +479,26 @@ def export_rows(orders: DataFrame, run_date, floor) -> DataFrame:
                        start.alias("window_start"))
 
 
+def fractions(rows: DataFrame) -> DataFrame:
+    """Rows of windows whose sheets hold fractions where others hold whole numbers."""
+    return rows.withColumns({"Peso (Kg)": F.col("`Peso (Kg)`") + F.lit(0.5),
+                             "Contador Visitas": F.col("Contador Visitas") + F.lit(0.25)})
+
+
+def sheet_kinds(rows: DataFrame) -> dict[int, DataFrame]:
+    """The four kinds of sheets by window: 1 without ``Telefono``, 2 with
+    fractions, 3 both, 0 neither."""
+    out = {}
+    for k in range(4):
+        df = rows.where(sheet_kind(F.col("window_seq")) == k).drop("window_seq", *(["Telefono"] if k & 1 else []))
+        out[k] = fractions(df) if k & 2 else df
+    return out
+
+
+def sheet_kind(seq: Column) -> Column:
+    return (F.when(seq % 4 == 1, 1).otherwise(0) + F.when(seq % 5 == 2, 2).otherwise(0)).cast("int")
+
+
 def export_manifest(orders: DataFrame, run_date, floor) -> DataFrame:
     """One response row per requested window: status 500 for every 9th
     window, an HTML page for every 11th, a spreadsheet otherwise."""
@@ -491,32 +513,34 @@ def export_manifest(orders: DataFrame, run_date, floor) -> DataFrame:
 
 def land_exports_csv(spark: SparkSession, orders: DataFrame, root: str | None = None) -> str:
     """The export feed as delimited files: ``root/data/window_start=<date>/``
-    holds CSV with a header line per file (every 4th window's sheet has no
-    ``Telefono`` column); ``root/manifest`` holds each window's response and
-    its header (the landing records what it wrote)."""
+    holds CSV with a header line per file (sheets of the four
+    :func:`sheet_kinds`); ``root/manifest`` holds each window's response, its
+    header and the types of its columns (the landing records what it wrote)."""
     root = root or scratch_path(spark, "exports-csv")
     run_date, floor = export_bounds(orders)
     rows = export_rows(orders, run_date, floor).hint("rebalance", "window_start")
-    parts = {True: rows.where(F.col("window_seq") % 4 == 1).drop("Telefono"),
-             False: rows.where(F.col("window_seq") % 4 != 1)}
-    headers = {}
-    for i, (short, df) in enumerate(parts.items()):
-        df = df.drop("window_seq")
-        headers[short] = [c for c in df.columns if c != "window_start"]
-        df.write.mode("overwrite" if i == 0 else "append").partitionBy("window_start") \
+    headers, types = {}, {}
+    for kind, df in sheet_kinds(rows).items():
+        headers[kind] = [c for c in df.columns if c != "window_start"]
+        # Sheet columns that are not typed in the declared list are text in the file.
+        declared = config.EXPORT_TYPED_HEADERS
+        types[kind] = [df.schema[c].dataType.simpleString() if c in declared and c != "Fecha Visita4"
+                       else declared.get(c, "string") for c in headers[kind]]
+        df.write.mode("append" if kind else "overwrite").partitionBy("window_start") \
             .option("header", "true").csv(f"{root}/data")
     man = export_manifest(orders, run_date, floor)
-    seq = F.datediff(F.lit(run_date).cast("date"), F.col("window_end")) / 31
-    man = man.withColumn("header", F.when(seq % 4 == 1, F.array(*[F.lit(h) for h in headers[True]]))
-                         .otherwise(F.array(*[F.lit(h) for h in headers[False]])))
+    kind = sheet_kind(F.datediff(F.lit(run_date).cast("date"), F.col("window_end")) / 31)
+    def of_kind(lists):
+        return F.element_at(F.array(*[F.array(*[F.lit(x) for x in lists[k]]) for k in range(4)]), kind + 1)
+    man = man.withColumn("header", of_kind(headers)).withColumn("types", of_kind(types))
     man.write.mode("overwrite").parquet(f"{root}/manifest")
     return root
 
 
 def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None) -> str:
     """Land the export feed below the checkpoint folder and return its root:
-    ``root/data`` holds Parquet files under ``window_start=<date>/`` (every
-    4th window's sheet has no ``Telefono`` column); ``root/manifest`` holds
+    ``root/data`` holds Parquet files under ``window_start=<date>/`` (sheets
+    of the four :func:`sheet_kinds`); ``root/manifest`` holds
     the response and the written schema of every requested window. Files of
     every window are present (as left by earlier runs); the manifest says
     which are usable."""
@@ -525,15 +549,13 @@ def land_exports(spark: SparkSession, orders: DataFrame, root: str | None = None
     # Rebalance on the window so each window lands as few files (AQE splits a
     # large window and packs small ones) instead of one file per task per window.
     rows = export_rows(orders, run_date, floor).hint("rebalance", "window_start")
-    without = rows.where(F.col("window_seq") % 4 == 1).drop("Telefono", "window_seq")
-    with_tel = rows.where(F.col("window_seq") % 4 != 1).drop("window_seq")
-    with_tel.write.mode("overwrite").partitionBy("window_start").parquet(f"{root}/data")
-    without.write.mode("append").partitionBy("window_start").parquet(f"{root}/data")
+    kinds = sheet_kinds(rows)
+    for kind, df in kinds.items():
+        df.write.mode("append" if kind else "overwrite").partitionBy("window_start").parquet(f"{root}/data")
     # The manifest records each window's written schema, so readers need no
     # footer-merging pass.
-    schema_of = lambda df: df.drop("window_start").schema.json()
-    seq = F.datediff(F.lit(run_date).cast("date"), F.col("window_end")) / 31
-    man = export_manifest(orders, run_date, floor).withColumn(
-        "schema", F.when(seq % 4 == 1, F.lit(schema_of(without))).otherwise(F.lit(schema_of(with_tel))))
+    kind = sheet_kind(F.datediff(F.lit(run_date).cast("date"), F.col("window_end")) / 31)
+    man = export_manifest(orders, run_date, floor).withColumn("schema", F.element_at(
+        F.array(*[F.lit(kinds[k].drop("window_start").schema.json()) for k in range(4)]), kind + 1))
     man.write.mode("overwrite").parquet(f"{root}/manifest")
     return root

@@ -96,13 +96,49 @@ def cast_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 # --- U2: union all by name, missing columns as NULL ---------------------------
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMBER = _WHOLE + (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both: equal types stay, whole numbers
+    meet in bigint, other numbers in double, dates and stamps in a stamp
+    without zone; everything else meets in text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return T.LongType()
+    if isinstance(a, _NUMBER) and isinstance(b, _NUMBER):
+        return T.DoubleType()
+    if {type(a), type(b)} == {T.DateType, T.TimestampNTZType}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def common_schema(schemas: list[T.StructType]) -> T.StructType:
+    """Outer union by name in order of first appearance, each column with the
+    common type of all schemas that have it."""
+    merged: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            merged[f.name] = common_type(merged[f.name], f.dataType) if f.name in merged else f.dataType
+    return T.StructType([T.StructField(n, t) for n, t in merged.items()])
+
+
 def union_outer(frames: list[DataFrame]) -> DataFrame:
-    """Union all by column name; a column missing from a frame is NULL there.
-    Column order is order of first appearance. Balanced pairing keeps the plan
-    depth logarithmic in the number of frames."""
+    """Union all by column name; a column missing from a frame is NULL there,
+    one that has different types is cast to their :func:`common_type`. Column
+    order is order of first appearance. Balanced pairing keeps the plan depth
+    logarithmic in the number of frames."""
     if not frames:
         raise ValueError("union_outer needs at least one frame")
-    level = list(frames)
+    types = {f.name: f.dataType for f in common_schema([df.schema for df in frames]).fields}
+    level = []
+    for df in frames:
+        unlike = {f.name: F.col(q(f.name)).cast(types[f.name]) for f in df.schema.fields if f.dataType != types[f.name]}
+        level.append(df.withColumns(unlike) if unlike else df)
     while len(level) > 1:
         nxt = [level[i].unionByName(level[i + 1], allowMissingColumns=True)
                for i in range(0, len(level) - 1, 2)]
@@ -138,7 +174,7 @@ def non_null_columns(df: DataFrame, order_by: str | None = None,
 
 
 def drop_empty_columns(df: DataFrame, order_by: str | None = None,
-                       keep: tuple[str, ...] = ()) -> DataFrame:
+                       keep: tuple[str, ...] = (), firsts: dict | None = None) -> DataFrame:
     """Drop every column that is NULL in all rows (``keep`` is never dropped).
 
     A column survives iff it is non-NULL in some group, so one pass over the
@@ -146,8 +182,15 @@ def drop_empty_columns(df: DataFrame, order_by: str | None = None,
     union. The output schema depends on the data, so this runs one eager
     aggregate; the caller should hand in a frame that is cheap to re-read
     (a scan, or a checkpointed frame). A frame without rows keeps its columns.
+    Who knows the smallest ``order_by`` value with a non-NULL value of every
+    column, say from file footers, gives them as ``firsts`` (columns without
+    one left out): then ``df`` is not read here.
     """
-    survivors = non_null_columns(df, order_by=order_by, exclude=keep)
+    if firsts:
+        at = [c for c in df.columns if c in firsts and c != order_by and c not in keep]
+        survivors = sorted(at, key=lambda c: (firsts[c], at.index(c)))
+    else:
+        survivors = non_null_columns(df, order_by=order_by, exclude=keep)
     if not survivors and df.isEmpty():
         survivors = [c for c in df.columns if c != order_by and c not in keep]
     return df.select(*[F.col(q(c)) for c in list(keep) + survivors])

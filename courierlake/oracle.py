@@ -251,7 +251,8 @@ SELECT
   o_orderdate AS Fecha,
   o_orderstatus AS Estado,
   o_orderpriority AS Servicio,
-  CAST(o_custkey % 50 AS VARCHAR) AS Peso_kg,
+  CASE WHEN k % 5 = 2 THEN CAST(CAST(o_custkey % 50 AS DOUBLE) + 0.5 AS VARCHAR)
+       ELSE CAST(o_custkey % 50 AS VARCHAR) END AS Peso_kg,
   'LIM' AS Origen,
   'DST' || CAST(o_custkey % 25 AS VARCHAR) AS Destino,
   'Seller ' || CAST(o_custkey % 11 AS VARCHAR) AS Remitente,
@@ -272,7 +273,7 @@ SELECT
   CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 2 DAY END AS Fecha_Visita2,
   CASE WHEN o_orderkey % 3 = 0 THEN 'retry' END AS Observacion_Visita2,
   CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate + INTERVAL 4 DAY END AS Fecha_Visita3,
-  o_orderkey % 4 AS Contador_Visitas,
+  CAST(o_orderkey % 4 AS DOUBLE) + CASE WHEN k % 5 = 2 THEN 0.25 ELSE 0 END AS Contador_Visitas,
   lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS Nro_Documento_Destinatario,
   'LIMA' AS Departamento_Destinatario,
   'LIMA' AS Provincia_Destinatario,
@@ -335,6 +336,16 @@ FROM orders
 """,
     "q12_export_consolidation": EXPORT_SQL,
     "q12b_export_consolidation_csv": EXPORT_SQL,
+    "q12d_rejected_windows": """
+WITH b AS (SELECT max(CAST(o_orderdate AS DATE)) AS run, min(CAST(o_orderdate AS DATE)) AS fl FROM orders),
+w AS (SELECT run, unnest(range(0, (run - fl - 30) // 31 + 1)) AS k FROM b)
+SELECT CAST(run - CAST(31 * k + 30 AS INTEGER) AS DATE) AS window_start, CAST(run - CAST(31 * k AS INTEGER) AS DATE) AS window_end,
+       CAST(CASE WHEN k % 9 = 8 THEN 500 ELSE 200 END AS INTEGER) AS http_status,
+       CASE WHEN k % 11 = 10 THEN 'text/html; charset=UTF-8'
+            ELSE 'application/vnd.openxmlformats-officedocument.spreadsheetml.sheet' END AS content_type,
+       CASE WHEN k % 9 = 8 THEN 'status' ELSE 'content_type' END AS reason
+FROM w WHERE k % 9 = 8 OR k % 11 = 10
+""",
     "q12c_export_recent_windows": EXPORT_SQL.replace("k <= kmax", "k <= least(kmax, 9)"),
     "q13_daily_spine": """
 SELECT CAST(g AS DATE) AS day, strftime(CAST(g AS DATE), '%Y-%m-%d') AS day_text

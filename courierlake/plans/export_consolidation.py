@@ -1,11 +1,11 @@
 """E3 — export consolidation: landed per-window exports, header clean-up,
 text casts, outer union by name, removal of columns that are NULL everywhere.
 
-Plan shape: one Parquet scan over all windows (footers merged by name, so a
-header missing from a window reads as NULL there) -> rename/cast projection
--> one aggregate job to decide the surviving columns -> projection. The union
-of the feed (which copies the accumulated frame per window) becomes a single
-scan; nothing is quadratic in the number of windows.
+Plan shape: one Parquet scan over all windows whose column types agree (a
+header missing from a window reads as NULL there), one more for each other set
+of types -> rename/cast projection, before the union, so a window's text is that
+of its own type -> union with common types -> projection on the columns that
+hold a value, which the Parquet footers tell (a scan only without them).
 """
 
 from __future__ import annotations
@@ -15,17 +15,25 @@ from pyspark.sql import functions as F
 
 from courierlake import config
 from courierlake.functions.ranges import backward_windows
-from courierlake.operators.shape import cast_text, drop_empty_columns, normalise_headers
-from courierlake.sources.landed import gate_exports, read_delimited_exports, read_exports, union_schema
+from courierlake.operators.shape import (cast_text, drop_empty_columns, export_header_map, normalise_headers,
+                                         union_outer)
+from courierlake.sources.landed import (footer_firsts, gate_exports, read_delimited_groups, read_export_groups,
+                                        read_exports, schema_groups)
 
 
-def consolidate(exports: DataFrame, window_col: str = "window_start") -> DataFrame:
+def consolidate(exports: DataFrame | list[DataFrame], window_col: str = "window_start",
+                firsts: dict[str, int] | None = None) -> DataFrame:
     """Consolidated export of all windows in ``exports`` (newest window first
-    decides the column order). The window column itself is not returned."""
-    df = cast_text(normalise_headers(exports))
+    decides the column order): one frame, or one for each set of column types.
+    ``firsts`` (see :func:`footer_firsts`) saves the scan for empty columns.
+    The window column itself is not returned."""
     order = "__window_order"
-    df = df.withColumn(order, -F.unix_date(F.col(window_col).cast("date"))).drop(window_col)
-    return drop_empty_columns(df, order_by=order)
+    frames = [cast_text(normalise_headers(df)) for df in ([exports] if isinstance(exports, DataFrame) else exports)]
+    df = union_outer([f.withColumn(order, -F.unix_date(F.col(window_col).cast("date"))).drop(window_col) for f in frames])
+    if firsts:
+        names = export_header_map()
+        firsts = {names.get(c, c): at for c, at in firsts.items()}
+    return drop_empty_columns(df, order_by=order, firsts=firsts)
 
 
 def asked_windows(manifest: DataFrame, run_date, floor=None, include_partial: bool = False,
@@ -49,9 +57,11 @@ def consolidated_export(spark: SparkSession, root: str, window_col: str = "windo
     out (as the feed skips them), as are windows that :func:`asked_windows`
     does not ask for; their partitions are pruned."""
     manifest = asked_windows(spark.read.parquet(f"{root}/manifest"), run_date, floor, include_partial, window_col)
-    schema = union_schema(manifest) if "schema" in manifest.columns else None
-    exports = read_exports(spark, f"{root}/data", schema=schema)
-    return consolidate(gate_exports(exports, manifest, window_col), window_col)
+    groups = schema_groups(manifest, window_col) if "schema" in manifest.columns else []
+    if not groups:  # no schema was recorded: the footers' fields must agree
+        return consolidate(gate_exports(read_exports(spark, f"{root}/data"), manifest, window_col), window_col)
+    frames = [gate_exports(df, manifest, window_col) for df in read_export_groups(spark, f"{root}/data", groups, window_col)]
+    return consolidate(frames, window_col, footer_firsts(spark, f"{root}/data", groups, window_col))
 
 
 def consolidated_delimited_export(spark: SparkSession, root: str,
@@ -61,5 +71,5 @@ def consolidated_delimited_export(spark: SparkSession, root: str,
     with a header each (``root/data``) and a manifest that records every
     window's response and header (``root/manifest``)."""
     manifest = asked_windows(spark.read.parquet(f"{root}/manifest"), run_date, floor, include_partial, window_col)
-    exports = read_delimited_exports(spark, f"{root}/data", manifest, window_col)
-    return consolidate(gate_exports(exports, manifest, window_col), window_col)
+    frames = read_delimited_groups(spark, f"{root}/data", manifest, window_col)
+    return consolidate([gate_exports(df, manifest, window_col) for df in frames], window_col)

@@ -25,7 +25,7 @@ from courierlake.plans.movement_history import (latest_per_code, movement_histor
                                                 usable_documents)
 from courierlake.plans.visit_mart import clean_vehicles, visit_mart, visit_mart_from_pages
 from courierlake.session import scratch_path
-from courierlake.sources.landed import gate_dated, read_dated_json, select_keys
+from courierlake.sources.landed import gate_dated, read_dated_json, rejected_windows, select_keys
 
 # Item schema of the dated feed pages (declared, never inferred).
 FEED_ITEM = T.StructType([
@@ -205,6 +205,12 @@ def q12c_export_recent_windows(spark, sf_dir):
                                floor=run_date - datetime.timedelta(days=310))
 
 
+def q12d_rejected_windows(spark, sf_dir):
+    """The export windows that were turned away, with the reason."""
+    manifest = spark.read.parquet(landed(spark, sf_dir, "exports") + "/manifest")
+    return rejected_windows(manifest).select("window_start", "window_end", "http_status", "content_type", "reason")
+
+
 def q13_daily_spine(spark, sf_dir):
     """Every day from the first to the last event day."""
     ev = _t(spark, sf_dir, "events")
@@ -251,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q12_export_consolidation": q12_export_consolidation,
     "q12b_export_consolidation_csv": q12b_export_consolidation_csv,
     "q12c_export_recent_windows": q12c_export_recent_windows,
+    "q12d_rejected_windows": q12d_rejected_windows,
     "q13_daily_spine": q13_daily_spine,
     "q14_backward_windows": q14_backward_windows,
     "q15_replace_table": q15_replace_table,

@@ -9,13 +9,16 @@ the responses and turn them into rows, all as lazy column expressions.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courierlake import config
-from courierlake.operators.shape import q, union_outer
+from courierlake.operators.shape import common_schema, q, union_outer
 
 # --- S5: response gates ---------------------------------------------------------
 
@@ -148,14 +151,83 @@ def lookup_documents(keys: DataFrame, docs: DataFrame, key_col: str = "tracking"
 # --- S3: landed exports ---------------------------------------------------------------
 
 def union_schema(manifest: DataFrame, col: str = "schema") -> T.StructType:
-    """Outer union by name (first appearance order) of the window schemas the
-    landing recorded as JSON in ``manifest.<col>``. Only the distinct schemas
-    reach the driver: a handful of short strings, whatever the data size."""
-    merged: dict[str, T.StructField] = {}
-    for r in manifest.select(col).distinct().orderBy(col).collect():
-        for f in T.StructType.fromJson(json.loads(r[col])).fields:
-            merged.setdefault(f.name, f)
-    return T.StructType(list(merged.values()))
+    """Outer union by name of the window schemas the landing recorded as JSON
+    in ``manifest.<col>``, with the common type of each column. Only the
+    distinct schemas reach the driver: a handful of short strings, whatever the
+    data size."""
+    recorded = manifest.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()
+    return common_schema([T.StructType.fromJson(json.loads(r[col])) for r in recorded])
+
+
+def schema_groups(manifest: DataFrame, window_col: str = "window_start",
+                  col: str = "schema") -> list[tuple[T.StructType, list]]:
+    """(schema, windows) of the usable windows, one entry for each distinct
+    recorded schema. The driver holds one date a window: landing metadata."""
+    usable = manifest.join(usable_windows(manifest, window_col), window_col, "left_semi").where(F.col(col).isNotNull())
+    rows = usable.groupBy(col).agg(F.array_sort(F.collect_set(window_col)).alias("days")).orderBy(col).collect()
+    return [(T.StructType.fromJson(json.loads(r[col])), list(r["days"])) for r in rows]
+
+
+def read_export_groups(spark: SparkSession, root: str, groups: list[tuple[T.StructType, list]],
+                       window_col: str = "window_start") -> list[DataFrame]:
+    """The windows of :func:`schema_groups`, in as few scans as types allow.
+
+    Schemas that agree on the type of every column they share are read in one
+    scan with their outer union. A column whose type differs between windows
+    (a sheet decides its types by its own cells) parts them: each scan then
+    names its windows, which prunes the partitions of the others, and the
+    caller unites the frames (:func:`union_outer` finds the common types)."""
+    like: list[tuple[dict[str, T.StructField], list]] = []
+    for schema, days in groups:
+        for fields, own in like:
+            if all(fields[f.name].dataType == f.dataType for f in schema.fields if f.name in fields):
+                fields.update({f.name: f for f in schema.fields if f.name not in fields})
+                own.extend(days)
+                break
+        else:
+            like.append(({f.name: f for f in schema.fields}, list(days)))
+    frames = []
+    for fields, days in like:
+        df = spark.read.schema(T.StructType(list(fields.values()))).parquet(root)
+        frames.append(df if len(like) == 1 else df.where(F.col(q(window_col)).isin(days)))
+    return frames
+
+
+def footer_firsts(spark: SparkSession, root: str, groups: list[tuple[T.StructType, list]],
+                  window_col: str = "window_start") -> dict[str, int] | None:
+    """Per raw column the newest window (as minus its day number) that holds a
+    value, from the Parquet footers alone; columns without a value are left
+    out. None where the footers do not tell, so a scan has to.
+
+    Spark answers the counts from the footers' null counts (aggregate push-down
+    by partition column), distributed over the files. It matches columns by
+    position, so each recorded schema is asked apart, and its order is held
+    against a file's; the landing answers for the order of the others.
+    """
+    own = spark.newSession()  # the two settings below hold for this metadata query only
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    order = -F.unix_date(F.col(window_col).cast("date"))
+    asked: list[DataFrame] = []
+    try:
+        for k, (schema, days) in enumerate(groups):
+            written = spark.read.parquet(f"{root}/{window_col}={days[-1]}").schema
+            if [(f.name, f.dataType) for f in written.fields] != [(f.name, f.dataType) for f in schema.fields]:
+                return None
+            paths = [f"{root}/{window_col}={d}" for d in days]
+            counts = own.read.schema(schema).option("basePath", root).parquet(*paths).groupBy(window_col).agg(
+                *[F.count(F.col(q(c))).alias(f"c{i}") for i, c in enumerate(schema.names)])
+            asked.append(counts.agg(F.lit(k).alias("group"), F.array(
+                *[F.min(F.when(F.col(f"c{i}") > 0, order)) for i in range(len(schema))]).alias("at")))
+        rows = reduce(DataFrame.union, asked).collect() if asked else []  # one row a schema
+    except (PySparkException, Py4JJavaError):  # no statistics, unreadable footer
+        return None
+    firsts: dict[str, int] = {}
+    for r in rows:
+        for c, at in zip(groups[r["group"]][0].names, r["at"]):
+            if at is not None:
+                firsts[c] = min(at, firsts.get(c, at))
+    return firsts
 
 
 def read_exports(spark: SparkSession, root: str, fmt: str = "parquet",
@@ -185,6 +257,14 @@ def usable_windows(manifest: DataFrame, window_col: str = "window_start") -> Dat
     return manifest.where(ok).select(window_col).distinct()
 
 
+def rejected_windows(manifest: DataFrame, window_col: str = "window_start") -> DataFrame:
+    """S5 for exports: the responses of the windows that no usable response
+    has, with the reason: ``status`` or ``content_type``."""
+    bad = F.coalesce(F.col("http_status") != config.EXPORT_OK_STATUS, F.lit(True))
+    return manifest.join(usable_windows(manifest, window_col), window_col, "left_anti").withColumn(
+        "reason", F.when(bad, F.lit("status")).otherwise(F.lit("content_type")))
+
+
 def gate_exports(exports: DataFrame, manifest: DataFrame, window_col: str = "window_start") -> DataFrame:
     """Rows of usable windows only. A left-semi join on the partition column:
     the manifest side is one row per window, so Spark broadcasts it and prunes
@@ -204,33 +284,45 @@ def export_schema(header: list[str], types: dict[str, str] | None = None) -> T.S
     return T.StructType([T.StructField(h, _TYPES[types.get(h, "string")]) for h in header])
 
 
-def read_delimited_exports(spark: SparkSession, root: str, manifest: DataFrame,
-                           window_col: str = "window_start") -> DataFrame:
-    """All windows of a delimited export landed under ``root/<window_col>=<date>/``
-    whose header is recorded per window in ``manifest.header``.
-
-    Windows with the same header are read in one scan with a declared schema
-    (one scan per distinct header, not per window; the header list is landing
-    metadata, one short row per distinct header); the scans are combined by
-    name, so a column missing from some sheets reads as NULL there. Windows
-    that :func:`usable_windows` turns away, or without a header, have no files
-    and are not read; with no window left the result is empty, with the typed
-    sheet columns. Quoted fields may hold line breaks.
+def read_delimited_groups(spark: SparkSession, root: str, manifest: DataFrame,
+                          window_col: str = "window_start") -> list[DataFrame]:
+    """The windows of a delimited export landed under
+    ``root/<window_col>=<date>/``, whose header is recorded per window in
+    ``manifest.header``, and where they are not the declared ones the types of
+    its columns in ``manifest.types`` (names as ``simpleString``, one a column).
+
+    Windows with the same header and types are read in one scan with a declared
+    schema (one scan for each, not per window; headers are landing metadata,
+    one short row per distinct one). Windows that :func:`usable_windows` turns
+    away, or without a header, have no files and are not read; with no window
+    left the result is empty, with the typed sheet columns. Quoted fields may
+    hold line breaks, so a file is one task: landings bound the size of a file
+    (the exports have one sheet of 31 days a window).
     """
     manifest = manifest.join(usable_windows(manifest, window_col), window_col, "left_semi") \
         .where(F.col("header").isNotNull())
-    headers = [r["header"] for r in manifest.select("header").distinct().collect()]
+    types = F.col("types") if "types" in manifest.columns else F.lit(None).cast("array<string>")
+    found = manifest.groupBy("header", types.alias("types")).agg(
+        F.array_sort(F.collect_set(F.date_format(window_col, "yyyy-MM-dd"))).alias("days")).orderBy("header", "types").collect()
     frames = []
-    for header in headers:
-        days = manifest.where(F.col("header") == F.array(*[F.lit(h) for h in header])) \
-            .select(F.date_format(window_col, "yyyy-MM-dd").alias("d"))
-        paths = [f"{root}/{window_col}={r['d']}" for r in days.collect()]
-        frames.append(spark.read.schema(export_schema(header)).option("header", "true")
-                      .option("multiLine", "true").option("escape", '"').option("basePath", root).csv(paths))
+    for r in found:
+        schema = export_schema(r["header"])
+        if r["types"]:
+            schema = T.StructType([T.StructField(h, _TYPES[t]) for h, t in zip(r["header"], r["types"], strict=True)])
+        frames.append(spark.read.schema(schema).option("header", "true")
+                      .option("multiLine", "true").option("escape", '"').option("basePath", root)
+                      .csv([f"{root}/{window_col}={d}" for d in r["days"]]))
     if not frames:
         window = T.StructField(window_col, manifest.schema[window_col].dataType)
-        return spark.createDataFrame([], T.StructType([*export_schema(list(config.EXPORT_TYPED_HEADERS)), window]))
-    return union_outer(frames)
+        frames.append(spark.createDataFrame([], T.StructType([*export_schema(list(config.EXPORT_TYPED_HEADERS)), window])))
+    return frames
+
+
+def read_delimited_exports(spark: SparkSession, root: str, manifest: DataFrame,
+                           window_col: str = "window_start") -> DataFrame:
+    """:func:`read_delimited_groups` combined by name; a column missing from
+    some sheets reads as NULL there."""
+    return union_outer(read_delimited_groups(spark, root, manifest, window_col))
 
 
 def read_export_files(spark: SparkSession, paths: dict, fmt: str = "csv",
