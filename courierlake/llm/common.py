@@ -18,6 +18,9 @@ ALNUM = bytes(b if chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" or b >= 128
               for b in FOLD)
 
 
+# Of one Arrow batch to a Python worker.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
 _SHIPPED: set[str] = set()
 
 
@@ -25,9 +28,13 @@ def ship(spark: SparkSession) -> None:
     """Give the package's code to the Python workers, once for an application.
 
     The driver serves the archive to every executor, as with --py-files, so
-    the workers need no installed copy.
+    the workers need no installed copy. Batches to the workers are bounded by
+    bytes in this session: rows carry whole texts, so a number of rows bounds
+    nothing.
     """
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
