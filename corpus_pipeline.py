@@ -16,7 +16,7 @@ from courierlake.llm.common import ship, staged, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 # DuckDB SQL cannot express the trained profiles, the tokenizer or the packing;
-# tests/llm/test_pipeline.py checks the stages against brute force.
+# tests/llm/test_pipeline.py holds the stages against plain Python versions.
 ORACLE_SQL = None
 
 
@@ -31,12 +31,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4. The document with the smallest id of each group stays, and
-    of rows that are equal in every column one."""
+    """Operator 4. The document with the smallest id of each group stays.
+
+    Rows that share an id, or have none, are documents of their own: they are
+    known by a hash of all their columns, one of those in a group stays, and of
+    rows that are equal in every column one."""
     ship(spark)
     docs = docs.select(*COLUMNS)
-    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates().select(*COLUMNS)
+    again = staged(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+                   .select("doc_id", F.lit(True).alias("again")), "repeated-ids")
+    some = not again.isEmpty()
+    if some:
+        mark = again.withColumnRenamed("doc_id", "again_id")
+        docs = docs.join(mark, F.col("doc_id").eqNullSafe(F.col("again_id")), "left").withColumn(
+            "row_key", F.when(F.col("again"), F.xxhash64(*COLUMNS)).otherwise(F.col("doc_id"))).select(*COLUMNS, "row_key")
+    else:
+        docs = docs.withColumn("row_key", F.col("doc_id"))
+    gone = neardup.near_duplicates(docs, id_col="row_key").where(~F.col("kept")).select(
+        F.col("doc_id").alias("row_key")).distinct()
+    left = docs.join(gone, "row_key", "left_anti").select(*COLUMNS)
+    return left.dropDuplicates() if some else left
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
