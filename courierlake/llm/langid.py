@@ -159,7 +159,9 @@ def identify(docs: DataFrame, profile: DataFrame, text_col: str = "text",
         for batch in batches:
             yield pd.DataFrame([ranker.predict(t) for t in batch], columns=["lang_pred", "score"])
 
-    return docs.withColumn(out, predict(F.col(text_col)))
+    # Nondeterministic to the planner, which would otherwise evaluate it a second
+    # time, in workers of its own, below a filter on the prediction.
+    return docs.withColumn(out, predict.asNondeterministic()(F.col(text_col)))
 
 
 def held_out(id_col: str = "doc_id"):
