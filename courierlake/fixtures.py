@@ -190,6 +190,36 @@ def json_feed(events: DataFrame) -> DataFrame:
                          body.alias("body"))
 
 
+def json_feed_defects(events: DataFrame, defects: bool = True) -> DataFrame:
+    """One page per event, ``[obj]``, by event_id % 10: 5 with an object that no
+    schema declares (``extra``, with an object in it), and 7 with one more field
+    in ``props``. With ``defects``, besides the object of the page: 0 a text for
+    its id, 1 a fraction for its id, 2 a JSON null behind it, 3 a number behind
+    it, 4 ``props.k`` as text, 6 text behind the array."""
+    m = F.col("event_id") % 10
+    e, k = _s(F.col("event_id")), F.get_json_object("props", "$.k")
+
+    def obj(event_id: Column, props: Column, more: str = "") -> Column:
+        return F.concat(F.lit('{"event_id": '), event_id, F.lit(', "event_type": "'), F.col("event_type"),
+                        F.lit('", "props": '), props, F.lit(more + "}"))
+
+    plain = F.concat(F.lit('{"k": '), k, F.lit("}"))
+    extra = ', "extra": {"note": "seen", "geo": {"lat": 1.5}}'
+    good = F.when(m == 5, obj(e, plain, extra)).when(
+        m == 7, obj(e, F.concat(F.lit('{"k": '), k, F.lit(', "unit": "u'), _s(F.col("event_id") % 3), F.lit('"}')))) \
+        .otherwise(obj(e, plain))
+    page = F.concat(F.lit("["), good, F.lit("]"))
+    if defects:
+        more = (F.when(m == 0, obj(F.concat(F.lit('"x'), e, F.lit('"')), plain))
+                .when(m == 1, obj(F.concat(e, F.lit(".5")), plain))
+                .when(m == 2, F.lit("null")).when(m == 3, e)
+                .when(m == 4, obj(e, F.lit('{"k": "none"}'))))
+        page = F.when(m == 6, F.concat(page, F.lit(" tail"))).when(
+            more.isNotNull(), F.concat(F.lit("["), good, F.lit(", "), more, F.lit("]"))).otherwise(page)
+    return events.select(F.lit("visits").alias("endpoint"), F.col("ts").cast("date").alias("planned_date"),
+                         F.lit(200).alias("http_status"), page.alias("body"))
+
+
 def routing_pages(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Landed responses of the routing feed's three endpoints
     (``endpoint, planned_date, http_status, body``): the objects of a day come

@@ -306,8 +306,33 @@ SELECT 'visits' AS endpoint, CAST(ts AS DATE) AS planned_date,
        CASE WHEN event_id % 10 = 1 THEN 500 ELSE 200 END AS http_status,
        CASE event_id % 10 WHEN 1 THEN 'status' WHEN 3 THEN 'empty' ELSE 'malformed' END AS reason
 FROM events WHERE event_id % 10 < 4
+""",
+    "q02c_rejected_elements": """
+WITH e AS (SELECT CAST(ts AS DATE) AS planned_date, event_id % 10 AS m, event_id, event_type,
+                  json_extract_string(props, '$.k') AS k FROM events)
+SELECT planned_date,
+       CASE m WHEN 2 THEN 'null' WHEN 3 THEN 'not an object' WHEN 4 THEN 'type: props.k' ELSE 'type: event_id' END AS reason,
+       CASE m WHEN 2 THEN 'null' WHEN 3 THEN CAST(event_id AS VARCHAR)
+              ELSE '{"event_id":' || CASE m WHEN 0 THEN '"x' || event_id || '"' WHEN 1 THEN event_id || '.5'
+                                            ELSE CAST(event_id AS VARCHAR) END
+                   || ',"event_type":"' || event_type || '","props":{"k":' || CASE m WHEN 4 THEN '"none"' ELSE k END || '}}'
+       END AS element
+FROM e WHERE m < 5
+""",
+    "q02d_typed_elements": """
+SELECT CAST(ts AS DATE) AS planned_date, event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k
+FROM events WHERE event_id % 10 <> 6
+""",
+    "q02e_undeclared_fields": """
+SELECT CAST(ts AS DATE) AS planned_date, event_id, event_type,
+       CASE WHEN event_id % 10 = 5 THEN CAST(1.5 AS DECIMAL(2, 1)) END AS extra_geo_lat,
+       CASE WHEN event_id % 10 = 5 THEN 'seen' END AS extra_note,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k,
+       CASE WHEN event_id % 10 = 7 THEN 'u' || event_id % 3 END AS props_unit
+FROM events
 """,
     "q03_key_lookup": KEY_LOOKUP_SQL,
+    "q03b_repeated_lookup": KEY_LOOKUP_SQL,
     "q04_vehicle_dimension": VEHICLES_SQL,
     "q05_visit_mart": visit_mart_sql(1),
     "q05b_visit_mart_from_pages": visit_mart_sql(1, text_dates=True),

@@ -25,7 +25,8 @@ from courierlake.plans.movement_history import (latest_per_code, movement_histor
                                                 usable_documents)
 from courierlake.plans.visit_mart import clean_vehicles, visit_mart, visit_mart_from_pages
 from courierlake.session import scratch_path
-from courierlake.sources.landed import gate_dated, read_dated_json, rejected_windows, select_keys
+from courierlake.sources.landed import (gate_dated, land_by_key, read_dated_json, read_discovered_json, rejected_elements,
+                                        rejected_windows, select_keys)
 
 # Item schema of the dated feed pages (declared, never inferred).
 FEED_ITEM = T.StructType([
@@ -55,6 +56,10 @@ def landed(spark: SparkSession, sf_dir: str, feed: str) -> str:
         if feed == "documents":
             _LANDED[key] = fx.land_documents(spark, _t(spark, sf_dir, "customer"),
                                              _t(spark, sf_dir, "events"))
+        elif feed == "documents_by_key":
+            path = scratch_path(spark, "documents-by-key")
+            _LANDED[key] = land_by_key(spark.read.parquet(landed(spark, sf_dir, "documents")),
+                                       path.rsplit("/", 1)[-1].replace("-", "_"), path)
         elif feed == "routing":
             _LANDED[key] = fx.land_routing_pages(spark, _t(spark, sf_dir, "customer"),
                                                  _t(spark, sf_dir, "orders"),
@@ -86,6 +91,27 @@ def q02b_feed_rejects(spark, sf_dir):
     return rejected.select("endpoint", "planned_date", "http_status", "reason")
 
 
+def q02c_rejected_elements(spark, sf_dir):
+    """Elements of usable pages that are not of the declared type, are null
+    or no objects, with the reason."""
+    feed = fx.json_feed_defects(_t(spark, sf_dir, "events"))
+    return rejected_elements(feed, FEED_ITEM, keep=["planned_date"])
+
+
+def q02d_typed_elements(spark, sf_dir):
+    """The rows that are left of pages with such elements, and none of
+    pages with text behind the array."""
+    feed = fx.json_feed_defects(_t(spark, sf_dir, "events"))
+    return flatten(read_dated_json(feed, FEED_ITEM, keep=["planned_date"]), sep="_")
+
+
+def q02e_undeclared_fields(spark, sf_dir):
+    """Nested objects that no schema declares; every field that any page
+    has is a column."""
+    feed = fx.json_feed_defects(_t(spark, sf_dir, "events"), defects=False)
+    return read_discovered_json(feed, keep=["planned_date"], sep="_")
+
+
 def _keys(spark, sf_dir):
     return tracking_keys(fx.tracking_keys(_t(spark, sf_dir, "customer")))
 
@@ -99,6 +125,11 @@ def q03_key_lookup(spark, sf_dir):
     return usable_documents(_keys(spark, sf_dir), _documents(spark, sf_dir)).select("guia", "page")
 
 
+def q03b_repeated_lookup(spark, sf_dir):
+    """J3 over documents landed by key: the lookup moves only the keys."""
+    return usable_documents(_keys(spark, sf_dir), spark.table(landed(spark, sf_dir, "documents_by_key"))).select("guia", "page")
+
+
 def q04_vehicle_dimension(spark, sf_dir):
     """Vehicles fetched on three days -> one row per version."""
     return clean_vehicles(fx.vehicles_raw(_t(spark, sf_dir, "customer")))
@@ -240,7 +271,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_key_selection": q01_key_selection,
     "q02_json_feed": q02_json_feed,
     "q02b_feed_rejects": q02b_feed_rejects,
+    "q02c_rejected_elements": q02c_rejected_elements,
+    "q02d_typed_elements": q02d_typed_elements,
+    "q02e_undeclared_fields": q02e_undeclared_fields,
     "q03_key_lookup": q03_key_lookup,
+    "q03b_repeated_lookup": q03b_repeated_lookup,
     "q04_vehicle_dimension": q04_vehicle_dimension,
     "q05_visit_mart": q05_visit_mart,
     "q05b_visit_mart_from_pages": q05b_visit_mart_from_pages,

@@ -9,6 +9,7 @@ the responses and turn them into rows, all as lazy column expressions.
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -18,32 +19,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courierlake import config
-from courierlake.operators.shape import common_schema, q, union_outer
+from courierlake.operators.shape import common_schema, flatten, q, union_outer
 
 # --- S5: response gates ---------------------------------------------------------
 
 
-def _array_body(body: Column, item_schema: T.StructType) -> Column:
-    """Parsed JSON array, or NULL when the text is not a well-formed array.
+def _elements(body: Column) -> Column:
+    """The elements of a JSON array as VARIANTs, or NULL when the text is not
+    one JSON array and nothing else.
 
-    A bare object would be wrapped into a one-element array by ``from_json``,
-    so the leading ``[`` is checked first (a cheap string test)."""
-    parsed = F.from_json(body, T.ArrayType(item_schema), {"mode": "PERMISSIVE"})
-    return F.when(body.rlike(r"^\s*\["), parsed)
+    The parser stops behind the first value and ignores the rest, so the text is
+    parsed inside an array that ends with a hash of the text: the hash comes
+    second only where the text is one whole value."""
+    mark = F.xxhash64(body)
+    outer = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), body, F.lit(","), mark.cast("string"), F.lit("]"))),
+                              "$", "array<variant>")
+    whole = (F.size(outer) == 2) & (F.try_variant_get(F.get(outer, F.lit(1)), "$", "bigint") == mark)
+    return F.when(whole, F.try_variant_get(F.get(outer, F.lit(0)), "$", "array<variant>"))
 
 
-def gate_dated(raw: DataFrame, item_schema: T.StructType, body: str = "body",
+def _usable_elements(body: str, status: str) -> Column:
+    return F.when(F.col(status) == 200, _elements(F.col(body)))
+
+
+def gate_dated(raw: DataFrame, item_schema: T.StructType | None = None, body: str = "body",
                status: str = "http_status") -> tuple[DataFrame, DataFrame]:
-    """Split dated responses into (usable, rejected).
-
-    Usable: status 200, body is a JSON array, and the array is not empty;
-    ``usable`` carries the parsed array in ``__items``. ``rejected`` keeps the
-    envelope with a ``reason`` of ``status``, ``malformed`` or ``empty``.
-    Rejected rows come out of a generator (one row per rejected response, none
-    otherwise) rather than a filter, so the parse behind the reason is not
-    inlined into a pushed-down condition: each body is parsed once.
+    """Split dated responses into (usable, rejected); every response is in one.
+
+    Usable: status 200, body is one JSON array with nothing behind it, and the
+    array is not empty; ``usable`` carries its elements in ``__items`` (VARIANTs,
+    typed by :func:`read_dated_json`; ``item_schema`` is not needed here).
+    ``rejected`` keeps the envelope with a ``reason`` of ``status``,
+    ``malformed`` or ``empty``. Rejected rows come out of a generator (one row
+    per rejected response, none otherwise) rather than a filter, so the parse
+    behind the reason is not inlined into a pushed-down condition: each body is
+    parsed once. An object that repeats a key, and a body beyond the size of a
+    VARIANT, count as malformed.
     """
-    items = _array_body(F.col(body), item_schema)
+    items = _elements(F.col(body))
     # A response without a status is rejected like one with a failed status.
     ok = F.coalesce(F.col(status) == 200, F.lit(False))
     usable = raw.withColumn("__items", items).where(ok & (F.size("__items") > 0))
@@ -60,21 +73,127 @@ def gate_dated(raw: DataFrame, item_schema: T.StructType, body: str = "body",
     return usable, rejected
 
 
+def _ddl(t: T.DataType) -> str:
+    """``simpleString`` with quoted field names."""
+    if isinstance(t, T.StructType):
+        return "struct<" + ",".join(f"{q(f.name)}:{_ddl(f.dataType)}" for f in t.fields) + ">"
+    if isinstance(t, T.ArrayType):
+        return f"array<{_ddl(t.elementType)}>"
+    if isinstance(t, T.MapType):
+        return f"map<{_ddl(t.keyType)},{_ddl(t.valueType)}>"
+    return t.simpleString()
+
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _typed(v: Column, t: T.DataType, name: str) -> tuple[Column, list[Column]]:
+    """The value of VARIANT ``v`` as ``t``, and conditions for what is wrong
+    with it (text, or NULL). Structs are typed field by field."""
+    present = v.isNotNull() & ~F.is_variant_null(v)
+    if isinstance(t, T.StructType):
+        # All fields in one walk over the object; NULL when it is not an object.
+        loose = F.try_variant_get(v, "$", "struct<" + ",".join(f"{q(f.name)}:variant" for f in t.fields) + ">")
+        parts = [_typed(loose.getField(f.name), f.dataType, f"{name}.{f.name}") for f in t.fields]
+        value = F.struct(*[c.alias(f.name) for (c, _), f in zip(parts, t.fields)])
+        return (F.when(loose.isNotNull(), value),
+                [F.when(present & loose.isNull(), F.lit(f"type: {name}")), *[w for _, own in parts for w in own]])
+    value = F.try_variant_get(v, "$", _ddl(t))
+    if isinstance(t, T.StringType):
+        return value, []  # any value has a text
+    bad = value.isNull()
+    if isinstance(t, _INTEGRAL):  # a cast would cut a fraction off
+        bad = bad | (F.try_variant_get(v, "$", "double") != value)
+    return value, [F.when(present & bad, F.lit(f"type: {name}"))]
+
+
+def _checked(raw: DataFrame, item_schema: T.StructType, keep: list[str], body: str, status: str) -> DataFrame:
+    """One row per element of every usable response: ``keep``, ``__el`` (the
+    element), ``__it`` (its fields typed) and ``__why`` (NULL, or what is wrong)."""
+    kept = [F.col(q(k)) for k in keep]
+    loose = "struct<" + ",".join(f"{q(f.name)}:variant" for f in item_schema.fields) + ">"
+    split = raw.select(*kept, F.explode(_usable_elements(body, status)).alias("__el")) \
+        .select(*kept, "__el", F.try_variant_get("__el", "$", loose).alias("__v"))
+    parts = [_typed(F.col("__v").getField(f.name), f.dataType, f.name) for f in item_schema.fields]
+    wrong = [w for _, own in parts for w in own]
+    no_object = F.when(F.is_variant_null("__el"), F.lit("null")).otherwise(F.lit("not an object"))
+    why = F.when(F.col("__v").isNull(), no_object).otherwise(F.coalesce(*wrong, F.lit(None).cast("string")))
+    typed = F.struct(*[c.alias(f.name) for (c, _), f in zip(parts, item_schema.fields)])
+    return split.select(*kept, "__el", typed.alias("__it"), why.alias("__why"))
+
+
 def read_dated_json(raw: DataFrame, item_schema: T.StructType, keep: list[str] | None = None,
                     body: str = "body", status: str = "http_status") -> DataFrame:
     """One row per object of every usable dated response, in the declared
     ``item_schema``, with the ``keep`` envelope columns (e.g. ``planned_date``).
 
-    The gate is folded into the generator: the explode runs over the parsed
-    array only for status 200 and array-shaped text, and a NULL (malformed)
-    or empty array yields no row. No filter references the parse, so Catalyst
-    has nothing to push below it and each body is parsed exactly once. Date
-    order is irrelevant to the result (it is a multiset).
+    Elements are typed one by one. A missing field and a JSON null are NULL; a
+    number given as text counts as that number; an element with a value that is
+    not of its declared type (``"id": "x9"``, ``"driver": 2.5``), a null and a
+    value that is no object give no row here, but one in
+    :func:`rejected_elements`. The gate is folded into the generators: no filter
+    references the parse, so Catalyst has nothing to push below it and each body
+    is parsed exactly once. Date order is irrelevant to the result (it is a
+    multiset).
     """
     keep = keep or []
-    items = F.when(F.col(status) == 200, _array_body(F.col(body), item_schema))
-    return raw.select(*[F.col(q(k)) for k in keep], F.explode(items).alias("__it")) \
-        .select(*[F.col(q(k)) for k in keep], "__it.*")
+    rows = _checked(raw, item_schema, keep, body, status)
+    good = F.explode(F.when(F.col("__why").isNull(), F.array("__it"))).alias("__it")
+    return rows.select(*[F.col(q(k)) for k in keep], good).select(*[F.col(q(k)) for k in keep], "__it.*")
+
+
+def rejected_elements(raw: DataFrame, item_schema: T.StructType, keep: list[str] | None = None,
+                      body: str = "body", status: str = "http_status") -> DataFrame:
+    """The elements of usable responses that :func:`read_dated_json` gives no
+    row for: ``keep``, ``reason`` (``null``, ``not an object`` or ``type:`` and
+    the first such field) and the element's JSON text."""
+    keep = keep or []
+    kept = [F.col(q(k)) for k in keep]
+    rows = _checked(raw, item_schema, keep, body, status)
+    bad = F.explode(F.when(F.col("__why").isNotNull(), F.array(F.struct(
+        F.col("__why").alias("reason"), F.to_json("__el").alias("element"))))).alias("__bad")
+    return rows.select(*kept, bad).select(*kept, "__bad.*")
+
+
+def discovered_schema(raw: DataFrame, body: str = "body", status: str = "http_status") -> T.StructType:
+    """Schema of the objects in all usable responses: every field that any of
+    them has, nested objects included, merged by one aggregate over the parsed
+    elements (one short text reaches the driver). A field with values of unlike
+    types, or only nulls, is text."""
+    items = raw.select(F.explode(_usable_elements(body, status)).alias("el")) \
+        .where(F.try_variant_get("el", "$", "map<string,variant>").isNotNull())
+    found = items.agg(F.schema_of_variant_agg("el")).first()[0]
+    if not found or not found.startswith("OBJECT"):
+        return T.StructType([])
+    return T.DataType.fromDDL(_struct_ddl(found))
+
+
+def _struct_ddl(text: str) -> str:
+    """A VARIANT schema as a column type; quoted field names stay as they are."""
+    parts = text.split("`")
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"\bOBJECT(?=<)", "STRUCT", re.sub(r"(?<=[ <])(VARIANT|VOID)\b(?=[,>])", "STRING", parts[i]))
+        parts[i] = re.sub(r"\bOBJECT\b", "STRING", parts[i])  # an object without fields
+    return "`".join(parts)
+
+
+def read_discovered_json(raw: DataFrame, keep: list[str] | None = None, sep: str = ".",
+                         body: str = "body", status: str = "http_status") -> DataFrame:
+    """P1 without a declaration: one row per object of every usable response,
+    every nested object replaced by its fields (``parent<sep>child``), with the
+    columns of :func:`discovered_schema` — so a field that one page has is a
+    column, NULL elsewhere. Elements that are no objects give no row. Reads the
+    responses twice: once for the schema, once for the rows."""
+    keep = keep or []
+    kept = [F.col(q(k)) for k in keep]
+    schema = discovered_schema(raw, body, status)
+    if not schema.fields:
+        return raw.select(*kept).limit(0)
+    rows = raw.select(*kept, F.explode(_usable_elements(body, status)).alias("__el"))
+    one = F.try_variant_get("__el", "$", _ddl(schema))
+    good = rows.select(*kept, one.alias("__it")).select(*kept, F.explode(F.when(
+        F.col("__it").isNotNull(), F.array("__it"))).alias("__it"))
+    return flatten(good.select(*kept, "__it.*"), sep=sep)
 
 
 def _object_size(doc: Column) -> Column:
@@ -148,6 +267,19 @@ def lookup_documents(keys: DataFrame, docs: DataFrame, key_col: str = "tracking"
     return docs.join(keys.withColumnRenamed(key_col, doc_key), on=doc_key, how="left_semi")
 
 
+def land_by_key(docs: DataFrame, table: str, path: str, key: str = "guia",
+                buckets: int | None = None) -> str:
+    """Land documents as catalog table ``table`` (files below ``path``), bucketed
+    and sorted by ``key``, for lookups that come again and again: a join on the
+    key then moves the keys to the documents, never the documents. One file a
+    bucket. The planner gives buckets up that are fewer than a shuffle's
+    partitions, hence the default of that number; more make smaller tasks."""
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs.repartition(buckets, F.col(q(key))).write.format("parquet").mode("overwrite") \
+        .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return table
+
+
 # --- S3: landed exports ---------------------------------------------------------------
 
 def union_schema(manifest: DataFrame, col: str = "schema") -> T.StructType:

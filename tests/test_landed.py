@@ -62,3 +62,64 @@ def test_lookup_documents_semi_join(spark):
     keys = spark.createDataFrame([("a",), ("b",)], "tracking string")
     docs = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3)], "guia string, page int")
     assert rows(lookup_documents(keys, docs)) == [("a", 1), ("a", 2)]
+
+
+def test_every_defect_ends_in_a_stated_output(spark):
+    """Responses in = usable + rejected; elements in = rows + rejected ones."""
+    from courierlake.sources.landed import rejected_elements
+    d = dt.date(2024, 4, 1)
+    bodies = ['[{"id": 1, "driver": "abc"}, {"id": 2, "driver": 5}]', '[{"id": "x9"}]', '[{"id": 3}, null]', '[{"id": 4}] junk',
+              '[{"id": 5}][{"id": 6}]', '[{"id": 7}]]', '[{"id": 8}], 1] x', '[7, "a", [1]]', '[{"id": 2.5}]', '[{"id": "12"}]',
+              '[{"id": null, "driver": 1e2, "name": {"a": 1}}]', '{"id": 9}', '[]', '[{"id": 10}] \n', None, '', '5', 'null']
+    raw = spark.createDataFrame([(d, 200, b) for b in bodies], "planned_date date, http_status int, body string")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("driver", T.IntegerType()),
+                           T.StructField("name", T.StringType())])
+    usable, rejected = gate_dated(raw, schema)
+    assert usable.count() + rejected.count() == len(bodies)
+    assert sorted(r.reason for r in rejected.collect()) == ["empty"] + ["malformed"] * 9
+    good = read_dated_json(raw, schema)
+    assert rows(good) == sorted([(2, 5, None), (3, None, None), (12, None, None), (None, 100, '{"a":1}'), (10, None, None)], key=repr)
+    bad = sorted((r.reason, r.element) for r in rejected_elements(raw, schema).collect())
+    assert bad == [("not an object", '"a"'), ("not an object", "7"), ("not an object", "[1]"), ("null", "null"),
+                   ("type: driver", '{"driver":"abc","id":1}'), ("type: id", '{"id":"x9"}'), ("type: id", '{"id":2.5}')]
+    assert good.count() + len(bad) == sum(r.n for r in usable.selectExpr("size(__items) AS n").collect())
+
+
+def test_undeclared_fields_become_columns(spark):
+    from courierlake.sources.landed import discovered_schema, read_discovered_json
+    raw = spark.createDataFrame([(1, 200, '[{"id": 1, "p": {"k": 1}}]'), (2, 200, '[{"id": "x", "p": {"q": {"z w": true}}}, null, 4]'),
+                                 (3, 500, '[{"hidden": 1}]'), (4, 200, '[{"none": null, "list": [{"a": 1}]}]')],
+                                "page int, http_status int, body string")
+    out = read_discovered_json(raw, keep=["page"])
+    assert out.columns == ["page", "id", "list", "none", "p.k", "p.q.z w"]
+    got = sorted((r["page"], r["id"], r["p.k"], r["p.q.z w"]) for r in out.collect())
+    assert got == [(1, "1", 1, None), (2, "x", None, True), (4, None, None, None)]
+    empty = spark.createDataFrame([], "page int, http_status int, body string")
+    assert discovered_schema(empty).fields == [] and read_discovered_json(empty, keep=["page"]).columns == ["page"]
+
+
+def test_lookup_moves_no_documents(spark, tmp_path):
+    """With broadcast off the only exchanges are those of the keys."""
+    from courierlake.sources.landed import land_by_key
+    from tests.conftest import explain
+    docs = spark.range(2000).selectExpr("concat('G', id % 500) AS guia", "id AS page")
+    name = land_by_key(docs, "courierlake_docs_by_key", str(tmp_path / "docs"))
+    keys = spark.createDataFrame([("G1",), ("G2",), ("zzz",)], "tracking string").distinct()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup_documents(keys, spark.table(name))
+        plan = explain(found, "simple")
+        assert found.count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Depth first: the document scan is reached without an exchange above it.
+    above, depth = [], {}
+    for line in plan.splitlines():
+        if "FileScan parquet" in line and "page" in line:
+            at = len(line) - len(line.lstrip(" :+-"))
+            above = [x for x in depth if x < at and "Exchange" in depth[x]]
+            assert not above, plan
+        at = len(line) - len(line.lstrip(" :+-"))
+        depth = {k: v for k, v in depth.items() if k < at} | {at: line}
+    spark.sql(f"DROP TABLE {name}")
