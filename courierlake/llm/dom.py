@@ -34,6 +34,11 @@ _CARES = re.compile(r"class|id|role|hidden|style", re.I)
 _ATTR = re.compile(r"([A-Za-z_:][\w:.\-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
+# Elements nested deeper than this give their text to the ancestor at this
+# depth, in order and as blocks of their own.
+MAX_DEPTH = 120
+
+
 class Node:
     """An element: its children are nodes and pieces of raw text."""
 
@@ -55,18 +60,30 @@ class Node:
 
 
 def parse(page: str | None) -> Node:
-    """The tree of a page; tags that are not closed end with their parents."""
+    """The tree of a page; tags that are not closed end with their parents. No
+    node lies deeper than ``MAX_DEPTH``, so walks over the tree may recurse."""
     root = Node("#root")
     stack, at, page = [root], 0, page or ""
+
+    def put(item: str | Node) -> None:
+        if len(stack) <= MAX_DEPTH:
+            stack[-1].items.append(item)
+        elif isinstance(item, str) or item.tag == "br":
+            deep = stack[MAX_DEPTH:]
+            holder = Node(next((n.tag for n in reversed(deep) if n.tag not in INLINE), deep[-1].tag))
+            holder.furniture = any(n.furniture for n in deep)
+            holder.items.append(item)
+            stack[MAX_DEPTH - 1].items.append(holder)
+
     while at < len(page):
         found = _TOKEN.match(page, at)
         text, close, name, attrs, data, stray = found.groups()
         at = found.end()
         if text:
-            stack[-1].items.append(text)
+            put(text)
         if not name:
             if data or stray:
-                stack[-1].items.append(html.escape(data or stray))
+                put(html.escape(data or stray))
             continue
         tag = name.lower()
         if close:
@@ -78,7 +95,9 @@ def parse(page: str | None) -> Node:
         if tag not in INLINE:
             _close_open(stack, tag)
         node = Node(tag, attrs)
-        stack[-1].items.append(node)
+        if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+            node.furniture = True  # the site's, not an article's own
+        put(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -103,8 +122,8 @@ def _close_open(stack: list[Node], tag: str) -> None:
 class Wrap:
     """A node of a wrapper: the nodes aligned with it over all pages seen.
 
-    values holds up to VALUES hashes of the text found directly in them: one
-    hash means constant (template), several mean a slot (content)."""
+    values holds up to VALUES hashes of the text found directly in them, 0 for
+    none: one hash means constant (template), several mean a slot (content)."""
 
     tag: str
     mark: str
@@ -163,7 +182,7 @@ def shape(node: Node) -> Wrap:
                 kids.append(kid)
     text = "".join(texts).strip()
     return Wrap(node.tag, node.mark, node.furniture, 1, len(text), min(linked, len(text)), False,
-                {zlib.crc32(text.encode("utf-8", "replace"))} if text else set(), kids, [node])
+                {zlib.crc32(text.encode("utf-8", "replace")) if text else 0}, kids, [node])
 
 
 def alike(a: Wrap, b: Wrap) -> bool:

@@ -73,7 +73,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Null or empty html: empty text. A null URL, or one without a host, falls
     under the empty host. A page that does not fit its host's wrapper, or whose
-    host has no other page, is judged on its own tree. Repeated rows stay;
+    host has no other page, is judged on its own tree. Of very long pages nothing
+    is cut off; elements below depth ``dom.MAX_DEPTH`` count as that deep, each
+    piece of their text as a block. Repeated rows stay;
     other columns are ignored; an empty table gives no rows.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),

@@ -1,6 +1,7 @@
 """Wrapper induction, chat formatting and the pipeline."""
 
 import duckdb
+import pytest
 
 import corpus_pipeline
 from courierlake.llm import chat, dom, sql, wrapper
@@ -81,3 +82,33 @@ def test_pipeline(spark, tmp_path):
     assert "a.b@" not in last[61].text and last[61].n_chars == len(last[61].text)
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted({r.doc_id for r in pieces if r.doc_id is not None}) == ids[4]
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "span", "section"])
+@pytest.mark.parametrize("closed", [True, False])
+def test_deeply_nested_pages(spark, tag, closed):
+    """Thousands of levels cost no recursion and no text, and keep its order."""
+    n = 3000
+    page = "<html><body>first " + "".join(f"<{tag}>w{i} " for i in range(n)) + "<nav>menu</nav>last" + (f"</{tag}>" * n if closed else "") \
+        + "</body></html>"
+    pages = spark.createDataFrame([(1, "https://deep.example/1", page), (2, "https://deep.example/2", "<p>short</p>")],
+                                  "page_id long, url string, html string")
+    out = {r.page_id: r for r in wrapper.extract(pages).collect()}
+    assert out[1].text.split() == ["first", *[f"w{i}" for i in range(n)], "last"] and out[2].text == "short"
+
+
+def test_an_optional_box_stays(spark):
+    """A box that is empty on most pages is no template where it has text."""
+    def page(i, box):
+        body = " ".join(f"word{i}x{k}" for k in range(60))
+        return f"<html><body><header class=top>Site {i}</header><article><div class=box>{box}</div><p>{body}</p></article></body></html>"
+    rows = [(i, f"https://box.example/{i}", page(i, "The only words" if i == 3 else "")) for i in range(8)]
+    out = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out[3].startswith("The only words") and all("Site" not in t for t in out.values())
+
+
+def test_a_site_header_goes_and_an_articles_own_stays(spark):
+    rows = [(i, f"https://head.example/{i}", f"<html><body><header>Site news {i}</header><article><header><h1>Title {i}</h1></header>"
+             f"<p>{' '.join(f'text{i}y{k}' for k in range(40))}</p></article></body></html>") for i in range(6)]
+    out = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i].startswith(f"Title {i}\n\n") and "Site news" not in out[i] for i in range(6))
