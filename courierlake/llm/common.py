@@ -70,3 +70,9 @@ def space_words(data: bytes) -> list[bytes]:
 def alnum_words(data: bytes) -> list[bytes]:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of folded UTF-8 bytes."""
     return data.translate(ALNUM).split()
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The secret of the pseudonyms: ``spark.courierlake.pii.key``. The synthetic
+    tables need no secret, so queries over them run without the setting."""
+    return spark.conf.get("spark.courierlake.pii.key", None) or "key of the synthetic tables"

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "courierlake-pii-1"
 ROUNDS = 8
 
 # The formats that are recognised.
@@ -40,8 +39,13 @@ PATTERN = (f"{EMAIL}|(?<![0-9A-Za-z])(?:{SECRET})|{_FREE}{_DATE_TIME}"
 HINT = r"[0-9@]|AKIA|password|token|secret|api_key"
 MAX_GROUPS = 19            # digits, and so groups, of the longest value
 
-# The calendar is permuted in eras of 270 * 270 days from this day on.
+# First digits of the card issuers' number ranges.
+ISSUER = r"4|5[0-9]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[0-9]|6[0-9]"
+
+# The calendar is permuted in eras of 270 * 270 days from this day on; the years
+# 0001 to 9999 begin and end so many days from it, inside an era each.
 ERA_START, ERA_SIDE = "1900-01-01", 270
+FIRST_DAY, LAST_DAY = -693595, 2958463
 
 
 def _round(key: str, kind: str, i: Column, x: Column, modulus: Column) -> Column:
@@ -97,9 +101,10 @@ def luhn_sum(digits: Column, double_last: bool) -> Column:
 def kind_of(m: Column) -> Column:
     """The kind of a match, or null if it does not validate."""
     octets = F.split(m, r"\.")
-    ok_ip = F.forall(octets, lambda o: o.cast("int") <= 255)
+    # A leading zero is no decimal octet, and its width could not be kept.
+    ok_ip = F.forall(octets, lambda o: (o.cast("int") <= 255) & ~o.rlike("^0[0-9]"))
     area, group, serial = F.substring(m, 1, 3), F.substring(m, 5, 2), F.substring(m, 8, 4)
-    card = m.rlike(f"^{CARD}$") & (luhn_sum(_digits(m), False) % 10 == 0)
+    card = m.rlike(f"^{CARD}$") & _digits(m).rlike(f"^(?:{ISSUER})") & (luhn_sum(_digits(m), False) % 10 == 0)
     ok_ssn = ~area.isin("000", "666") & (area < "900") & (group != "00") & (serial != "0000")
     return (F.when(m.rlike(f"^(?:{EMAIL})$"), "email")
             .when(m.rlike(f"^(?:{SECRET})$"), "secret")
@@ -213,8 +218,13 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     ip = F.concat_ws(".", *[F.pmod(F.shiftright(i, shift), F.lit(256)).cast("string") for shift in (24, 16, 8, 0)])
     days = F.datediff(F.try_to_date(m, "yyyy-MM-dd"), F.to_date(F.lit(ERA_START))).cast("bigint")
     size = ERA_SIDE * ERA_SIDE
-    new_day = F.floor(days / size) * size + feistel(F.pmod(days, F.lit(size)), F.lit(ERA_SIDE), F.lit(ERA_SIDE),
-                                                    "date", key)
+    era = F.floor(days / size) * size
+    start = F.greatest(era, F.lit(FIRST_DAY))
+    own = F.least(era + size, F.lit(LAST_DAY + 1)) - start
+    # The eras at both ends are cut short: their days are shifted by a keyed number.
+    shift = _round(key, "date-shift", F.lit(0), era, own)
+    new_day = start + F.when(own == size, feistel(F.pmod(days, F.lit(size)), F.lit(ERA_SIDE), F.lit(ERA_SIDE), "date", key)) \
+        .otherwise(F.pmod(days - start + shift, own))
     date = F.date_format(F.date_add(F.to_date(F.lit(ERA_START)), new_day.cast("int")), "yyyy-MM-dd")
     email = F.concat(F.lit("user"), F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(m)), 256),
                                                 1, 16), F.lit("@example.invalid"))
@@ -223,24 +233,27 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
             .when(kind == "secret", F.lit("[SECRET]")).otherwise(m))
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY,
-                 out: str = "pii") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", out: str = "pii") -> DataFrame:
     """``docs`` with a struct column ``out``: text (pseudonyms in place), found
     (array of kind, original, pseudonym in text order).
 
-    One row out for each row in; null text stays null and finds nothing; other
-    columns are untouched. Matches that do not validate stay as they are. A
-    text without a digit, ``@`` or secret's name skips the work. ``key`` is the
-    secret of the permutation; whoever holds it can compute the mapping.
+    One row out for each row in, equal rows alike; null text stays null and
+    finds nothing, an empty table gives no rows; other columns are untouched,
+    whatever their names. Matches that do not validate stay as they are. Long
+    texts are taken whole. A text without a digit, ``@`` or secret's name skips
+    the work. ``key`` is the secret of the permutation and has no default:
+    whoever holds it can compute the mapping.
     """
-    text = F.col(text_col)
+    text, matches, done = F.col(text_col), "_m", "_f"
+    while {matches, done} & set(docs.columns):
+        matches, done = matches + "_", done + "_"
     hint = F.coalesce(text.rlike(HINT), F.lit(False))
-    cut = docs.withColumn("_m", F.when(hint, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
-    cut = cut.withColumn("_f", F.when(F.size("_m") > 0, F.transform("_m", lambda m: values(m, key))))
+    cut = docs.withColumn(matches, F.when(hint, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
+    cut = cut.withColumn(done, F.when(F.size(matches) > 0, F.transform(matches, lambda m: values(m, key))))
     parts = F.split(text, PATTERN, -1)
-    new = F.array_join(F.zip_with(parts, F.concat(F.transform("_f", lambda x: x["text"]), F.array(F.lit(""))),
+    new = F.array_join(F.zip_with(parts, F.concat(F.transform(done, lambda x: x["text"]), F.array(F.lit(""))),
                                   lambda a, b: F.concat(a, b)), "")
-    found = F.coalesce(F.flatten(F.transform("_f", lambda x: x["found"])),
+    found = F.coalesce(F.flatten(F.transform(done, lambda x: x["found"])),
                        F.array().cast("array<struct<kind:string,original:string,pseudonym:string>>"))
-    return (cut.withColumn(out, F.struct(F.when(F.col("_f").isNull(), text).otherwise(new).alias("text"),
-                                         found.alias("found"))).drop("_m", "_f"))
+    return (cut.withColumn(out, F.struct(F.when(F.col(done).isNull(), text).otherwise(new).alias("text"),
+                                         found.alias("found"))).drop(matches, done))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courierlake.llm import (chains, chat, decontaminate, exactdup, langid, manifest, neardup, packing, pii, quality, sql,
                              suffixes, trie, wrapper)
-from courierlake.llm.common import ship, table
+from courierlake.llm.common import pii_key, ship, table
 
 
 def op1_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.col("pii.found")
     def n(kind):
         return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return pii.pseudonymise(docs).select(
+    return pii.pseudonymise(docs, pii_key(spark)).select(
         "doc_id", F.col("pii.text").alias("text"), F.size(found).cast("long").alias("n_found"),
         *[n(k) for k in ("card", "phone", "ssn", "ip", "date", "email", "secret")])
 
