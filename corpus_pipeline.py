@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.llm import decontaminate, langid, neardup, packing, pii
-from courierlake.llm.common import ship, staged, table
+from courierlake.llm.common import pii_key, ship, staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -33,18 +33,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4. The document with the smallest id of each group stays.
 
-    Rows that share an id, or have none, are documents of their own: they are
-    known by a hash of all their columns, one of those in a group stays, and of
-    rows that are equal in every column one."""
+    Of rows that are equal in every column one stays. Unlike rows that share an
+    id, and rows without one, are documents of their own: they are known by a
+    hash of all their columns, and one of those in a group stays."""
     ship(spark)
     docs = docs.select(*COLUMNS)
-    again = staged(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
-                   .select("doc_id", F.lit(True).alias("again")), "repeated-ids")
-    some = not again.isEmpty()
+    own = F.xxhash64(*COLUMNS)
+    often = staged(docs.select("doc_id", own.alias("h")).groupBy("doc_id").agg(
+        F.count("*").alias("n"), (F.min("h") != F.max("h")).alias("unlike")).where("n > 1 OR doc_id IS NULL")
+        .select(F.col("doc_id").alias("often_id"), (F.col("unlike") | F.col("doc_id").isNull()).alias("unlike")), "repeated-ids")
+    some = not often.isEmpty()
     if some:
-        mark = again.withColumnRenamed("doc_id", "again_id")
-        docs = docs.join(mark, F.col("doc_id").eqNullSafe(F.col("again_id")), "left").withColumn(
-            "row_key", F.when(F.col("again"), F.xxhash64(*COLUMNS)).otherwise(F.col("doc_id"))).select(*COLUMNS, "row_key")
+        docs = docs.join(often, F.col("doc_id").eqNullSafe(F.col("often_id")), "left").withColumn(
+            "row_key", F.when(F.col("unlike"), own).otherwise(F.col("doc_id"))).select(*COLUMNS, "row_key")
     else:
         docs = docs.withColumn("row_key", F.col("doc_id"))
     gone = neardup.near_duplicates(docs, id_col="row_key").where(~F.col("kept")).select(
@@ -63,7 +64,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7. Every document stays, with pseudonyms in its text and
     ``n_chars`` counted anew."""
-    found = pii.pseudonymise(docs.select(*COLUMNS)).withColumn("text", F.col("pii.text"))
+    found = pii.pseudonymise(docs.select(*COLUMNS), pii_key(spark)).withColumn("text", F.col("pii.text"))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
