@@ -207,16 +207,18 @@ def _meet(frame: pd.DataFrame, best: bool) -> pd.DataFrame:
     """Pairs (a < b) of different labels that pass the estimate, bucket block by
     bucket block: each member's best partner, or every pair, in the first of
     the buckets that it shares."""
-    frame = frame.sort_values(["key", "i", "j", "id"], kind="stable")
-    ids, labels, block = (frame[c].to_numpy() for c in ("id", "label", "block"))
+    frame = frame.sort_values(["key", "i", "j", "side", "id"], kind="stable")
+    ids, labels, side = (frame[c].to_numpy() for c in ("id", "label", "side"))
     planes = np.stack(frame["planes"].to_list()).view(np.uint64)
     bands = np.stack(frame["bands"].to_list())
     key, i, j = (frame[c].to_numpy() for c in ("key", "i", "j"))
     cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
     n_words, chance, out = N_HASHES // 64, 2.0 ** -LOW_BITS, []
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(frame)]):
-        left = lo + np.flatnonzero(block[lo:hi] == i[lo])
-        right = lo + np.flatnonzero(block[lo:hi] == j[lo])
+        left = lo + np.flatnonzero(side[lo:hi] == 0)
+        right = lo + np.flatnonzero(side[lo:hi] == 1)
+        if not len(left) or not len(right):
+            continue
         differ = np.zeros((len(left), len(right)), np.int64)
         for w in range(n_words):
             either = np.zeros_like(differ, np.uint64)
@@ -225,8 +227,6 @@ def _meet(frame: pd.DataFrame, best: bool) -> pd.DataFrame:
             differ += np.bitwise_count(either)
         similar = ((N_HASHES - differ) / N_HASHES - chance) / (1 - chance)
         similar[(similar < ESTIMATE_FLOOR) | (labels[left][:, None] == labels[right][None, :])] = -1
-        if i[lo] == j[lo] and not best:
-            similar[np.tril_indices(len(left))] = -1
         if not (similar >= 0).any():
             continue
         if best:
@@ -250,17 +250,30 @@ def _between_components(shared: DataFrame, labels: DataFrame, classes: DataFrame
     """Candidate pairs of different components in buckets of three or more (the
     first round has met every pair of a bucket of two).
 
-    A bucket is cut into blocks of about BLOCK_MEMBERS by a hash of the id and
-    met block against block, so a large bucket spreads over many tasks.
+    In each bucket only the members outside its most common component look for
+    partners, among all members: a bucket of one component and few strangers
+    makes rows in proportion to its size. Both sides are cut into blocks of
+    about BLOCK_MEMBERS by a hash of the id and met block against block, so a
+    large bucket spreads over many tasks.
     """
     named = (shared.where("n > 2").join(labels.toDF("id", "label"), "id", "left")
-             .withColumn("label", F.coalesce("label", "id")))
-    mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("bigint")
-    rest = named.join(mixed.select("key"), "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
-    rest = staged(rest.select("key", "id", "label", "block", other.alias("o")).select(
-        "key", "id", "label", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j")), "rest")
+             .select("key", "id", F.coalesce("label", "id").alias("label")))
+    parts = named.groupBy("key", "label").agg(F.count("*").alias("m"))
+    mixed = parts.groupBy("key").agg(
+        F.max(F.struct("m", (-F.col("label")).alias("low"))).alias("top"), F.sum("m").alias("n"),
+        F.count("*").alias("labels")).where("labels > 1")
+    def blocks(n):
+        return F.ceil(n / BLOCK_MEMBERS).cast("bigint")
+    mixed = mixed.select("key", (-F.col("top.low")).alias("most"), blocks(F.col("n")).alias("all"),
+                         blocks(F.col("n") - F.col("top.m")).alias("strangers"))
+    own, zero = F.xxhash64("id"), F.lit(0).cast("bigint")
+    rest = staged(named.join(mixed, "key"), "mixed")
+    seekers = rest.where("label <> most").select(
+        "key", "id", "label", F.lit(0).alias("side"), F.pmod(own, "strangers").alias("i"),
+        F.explode(F.sequence(zero, F.col("all") - 1)).alias("j"))
+    sought = rest.select("key", "id", "label", F.lit(1).alias("side"),
+                         F.explode(F.sequence(zero, F.col("strangers") - 1)).alias("i"), F.pmod(own, "all").alias("j"))
+    rest = staged(seekers.unionByName(sought), "rest")
     groups = rest.count() // GROUP_ROWS + 1
     rows = rest.join(classes.select("id", "planes", "bands"), "id").withColumn(
         "g", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))

@@ -145,3 +145,31 @@ def test_empty_tables(nothing):
     assert neardup.near_duplicates(nothing).collect() == []
     assert suffixes.remove_repeats(nothing).collect() == []
     assert chains.passages(nothing).collect() == []
+
+
+def test_a_bucket_with_one_stranger_stays_in_proportion(spark, monkeypatch):
+    """One component and one stranger in a bucket: rows in proportion to its
+    members, however many blocks they make; and the pair is found."""
+    import numpy as np
+
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 8)
+    n, width = 400, neardup.LOW_BITS * neardup.N_HASHES // 64
+    rng = np.random.default_rng(1)
+    plane = rng.integers(-2 ** 62, 2 ** 62, width).tolist()
+    shared = spark.createDataFrame([(7, i, n) for i in range(n)], "key long, id long, n long")
+    labels = spark.createDataFrame([(i, 0) for i in range(n - 1)], "id long, label long")
+    classes = spark.createDataFrame([(i, plane, [7]) for i in range(n)], "id long, planes array<long>, bands array<long>")
+    sizes, real = [], neardup.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "rest":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "staged", counted)
+    every = neardup._between_components(shared, labels, classes, False).distinct().collect()
+    assert sizes == [n + n // 8]
+    assert sorted(map(tuple, every)) == [(i, n - 1) for i in range(n - 1)]
+    best = neardup._between_components(shared, labels, classes, True).distinct().collect()
+    assert len(best) >= 1 and all(r.b == n - 1 for r in best)
