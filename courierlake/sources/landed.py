@@ -87,39 +87,33 @@ def _ddl(t: T.DataType) -> str:
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _typed(v: Column, t: T.DataType, name: str) -> tuple[Column, list[Column]]:
-    """The value of VARIANT ``v`` as ``t``, and conditions for what is wrong
-    with it (text, or NULL). Structs are typed field by field."""
-    present = v.isNotNull() & ~F.is_variant_null(v)
-    if isinstance(t, T.StructType):
-        # All fields in one walk over the object; NULL when it is not an object.
-        loose = F.try_variant_get(v, "$", "struct<" + ",".join(f"{q(f.name)}:variant" for f in t.fields) + ">")
-        parts = [_typed(loose.getField(f.name), f.dataType, f"{name}.{f.name}") for f in t.fields]
-        value = F.struct(*[c.alias(f.name) for (c, _), f in zip(parts, t.fields)])
-        return (F.when(loose.isNotNull(), value),
-                [F.when(present & loose.isNull(), F.lit(f"type: {name}")), *[w for _, own in parts for w in own]])
-    value = F.try_variant_get(v, "$", _ddl(t))
+def _wrong(el: Column, value: Column, t: T.DataType, path: str, name: str) -> list[Column]:
+    """Conditions (text, or NULL) for what is wrong with a field whose typed
+    value is ``value``: it is there and does not read as its type. The element
+    is asked again only where the value is NULL, or may have lost a fraction."""
     if isinstance(t, T.StringType):
-        return value, []  # any value has a text
-    bad = value.isNull()
-    if isinstance(t, _INTEGRAL):  # a cast would cut a fraction off
-        bad = bad | (F.try_variant_get(v, "$", "double") != value)
-    return value, [F.when(present & bad, F.lit(f"type: {name}"))]
+        return []  # any value has a text
+    raw = F.try_variant_get(el, path, "variant")
+    bad = value.isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
+    if isinstance(t, _INTEGRAL):
+        bad = F.when(value.isNull(), bad).otherwise(F.try_variant_get(el, path, "double") != value)
+    inner = [w for f in t.fields for w in _wrong(el, value.getField(f.name), f.dataType, path + f"['{f.name}']",
+                                                 f"{name}.{f.name}")] if isinstance(t, T.StructType) else []
+    return [F.when(bad, F.lit(f"type: {name}")), *inner]
 
 
 def _checked(raw: DataFrame, item_schema: T.StructType, keep: list[str], body: str, status: str) -> DataFrame:
     """One row per element of every usable response: ``keep``, ``__el`` (the
-    element), ``__it`` (its fields typed) and ``__why`` (NULL, or what is wrong)."""
+    element), ``__it`` (its fields typed, in one walk over it; NULL when it is no
+    object) and ``__why`` (NULL, or what is wrong)."""
     kept = [F.col(q(k)) for k in keep]
-    loose = "struct<" + ",".join(f"{q(f.name)}:variant" for f in item_schema.fields) + ">"
-    split = raw.select(*kept, F.explode(_usable_elements(body, status)).alias("__el")) \
-        .select(*kept, "__el", F.try_variant_get("__el", "$", loose).alias("__v"))
-    parts = [_typed(F.col("__v").getField(f.name), f.dataType, f.name) for f in item_schema.fields]
-    wrong = [w for _, own in parts for w in own]
+    typed = raw.select(*kept, F.explode(_usable_elements(body, status)).alias("__el")) \
+        .select(*kept, "__el", F.try_variant_get("__el", "$", _ddl(item_schema)).alias("__it"))
+    it, el = F.col("__it"), F.col("__el")
+    wrong = [w for f in item_schema.fields for w in _wrong(el, it.getField(f.name), f.dataType, f"$['{f.name}']", f.name)]
     no_object = F.when(F.is_variant_null("__el"), F.lit("null")).otherwise(F.lit("not an object"))
-    why = F.when(F.col("__v").isNull(), no_object).otherwise(F.coalesce(*wrong, F.lit(None).cast("string")))
-    typed = F.struct(*[c.alias(f.name) for (c, _), f in zip(parts, item_schema.fields)])
-    return split.select(*kept, "__el", typed.alias("__it"), why.alias("__why"))
+    why = F.when(it.isNull(), no_object).otherwise(F.coalesce(*wrong, F.lit(None).cast("string")))
+    return typed.select(*kept, "__el", "__it", why.alias("__why"))
 
 
 def read_dated_json(raw: DataFrame, item_schema: T.StructType, keep: list[str] | None = None,
