@@ -125,6 +125,71 @@ def test_passages_whose_parts_stand_in_earlier_documents(spark):
     assert (out[0].start, out[0].end, out[0].ref_start, out[0].ref_end, out[0].n_matched) == (70, 150, 70, 150, 80)
 
 
+def best_segment(a, b):
+    """(score, words, equal words) of the best gapless local alignment of all."""
+    best = (0.0, 0, 0)
+    for shift in range(-len(b) + 1, len(a)):
+        score, words, same = 0.0, 0, 0
+        for i in range(max(shift, 0), min(len(a), len(b) + shift)):
+            equal = a[i] == b[i - shift]
+            score, words, same = score + (1 if equal else -chains.MISMATCH), words + 1, same + equal
+            if score <= 0:
+                score, words, same = 0.0, 0, 0
+            best = max(best, (score, words, same))
+    return best
+
+
+def test_recall_of_changed_passages_against_all_pairs_alignment(spark):
+    """Passages of 60 to 100 words with 0 to 20 % of their words changed."""
+    rng, rows = random.Random(9), []
+    for i in range(60):
+        passage = prose(1000 + i, rng.choice([60, 80, 100]), 10 ** 6).split()
+        changed = list(passage)
+        for at in rng.sample(range(len(passage)), int(len(passage) * (i % 5) / 20)):
+            changed[at] = f"changed{at}"
+        rows.append((i, " ".join([prose(2000 + i, 20, 10 ** 6), *passage])))
+        rows.append((100 + i, " ".join([prose(3000 + i, 30, 10 ** 6), *changed, prose(4000 + i, 10, 10 ** 6)])))
+    words = {i: x.split() for i, x in rows}
+    want = set()
+    for i, a in words.items():
+        for j, b in words.items():
+            if j < i and len(set(a) & set(b)) >= 40:
+                _, n, same = best_segment(a, b)
+                if n >= chains.MIN_WORDS and same >= chains.MIN_IDENTITY * n:
+                    want.add((i, j))
+    found = {(r.doc_id, r.ref_doc_id) for r in chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    print(len(want), len(found & want), found - want)
+    assert len(want) >= 55 and len(found & want) >= 0.9 * len(want)
+    assert all(i - 100 == j for i, j in found)
+
+
+def test_common_short_runs_do_not_meet_in_pairs(spark, monkeypatch):
+    """A line of 30 words in every document, and runs of equal seeds: one class."""
+    line = prose(77, 30, 10 ** 6)
+    rows = [(i, " ".join([prose(5000 + i, 60, 10 ** 6), line, prose(6000 + i, 60, 10 ** 6)])) for i in range(40)]
+    sizes, real = {}, chains.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(chains, "staged", counted)
+    assert chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect() == []
+    assert sizes["open"] <= 30 * len(rows)
+
+
+def test_seeds_across_chunks_and_repeated_rows(spark, monkeypatch):
+    words = prose(78, 300, 50).encode().split()
+    whole = [x.tolist() for x in chains.seeds(words)]
+    monkeypatch.setattr(chains, "CHUNK_WORDS", 17)
+    assert [x.tolist() for x in chains.seeds(words)] == whole
+    text = " ".join(["same"] * 400)
+    rows = [(1, text), (1, text), (2, text), (2, text), (3, prose(79, 80, 10 ** 6))]
+    out = chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.ref_doc_id, r.identity) for r in out] == [(2, 1, 1.0)]
+
+
 def test_chain_is_the_best_by_brute_force():
     rng = random.Random(5)
     for _ in range(30):
