@@ -238,3 +238,19 @@ def test_a_bucket_with_one_stranger_stays_in_proportion(spark, monkeypatch):
     assert sorted(map(tuple, every)) == [(i, n - 1) for i in range(n - 1)]
     best = neardup._between_components(shared, labels, classes, True).distinct().collect()
     assert len(best) >= 1 and all(r.b == n - 1 for r in best)
+
+
+def test_passages_whose_pairs_of_seeds_stand_in_earlier_documents(spark):
+    """Each pair of seeds of a passage is first in a document that holds at most one more seed of it."""
+    passage = prose(51, 80, 10 ** 6).split()
+    at = chains.seeds([w.encode() for w in passage])[1].tolist()
+    pairs = [(a, b) for a in at for b in at if any(low <= b - a < high for low, high in chains.PAIR_SPANS)]
+    assert len(pairs) >= 10
+    bodies = {}
+    for i, (a, b) in enumerate(pairs):
+        held = {a, b, min((x for x in at if a < x < b), key=lambda x: abs(2 * x - a - b))}
+        bodies[i] = [w if any(x <= a + k < x + 5 for x in held) else f"other{i}x{k}" for k, w in enumerate(passage[a:b + 5])]
+    bodies |= {1000: passage, 2000: [*passage[:at[len(at) // 2]], "changed", *passage[at[len(at) // 2] + 1:]]}
+    rows = [(i, " ".join([prose(3000 + i, 70, 10 ** 6), *body, prose(6000 + i, 70, 10 ** 6)])) for i, body in bodies.items()]
+    out = chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.ref_doc_id, r.start, r.end, r.ref_start, r.ref_end) for r in out] == [(2000, 1000, 70, 150, 70, 150)]
