@@ -292,11 +292,8 @@ def tracking_keys(customer: DataFrame) -> DataFrame:
                            copies.alias("copy_no"))
 
 
-def split_times(events: DataFrame) -> DataFrame:
-    """Date and time text of every event, with one variant per event_id % 10:
-    0 empty time, 1 unpadded fields, 2 fractional seconds, 3 hour 24,
-    4 doubled blank, 5 NULL date, 6 Feb 30, 7 no seconds, 8-9 plain."""
-    m, ts = F.col("event_id") % 10, F.col("ts")
+def _time_texts(event_id: Column, ts: Column) -> tuple[Column, Column]:
+    m = event_id % 10
     fecha = (F.when(m == 1, F.date_format(ts, "y-M-d"))
              .when(m == 5, _null("string"))
              .when(m == 6, F.concat(F.date_format(ts, "yyyy"), F.lit("-02-30")))
@@ -308,6 +305,14 @@ def split_times(events: DataFrame) -> DataFrame:
             .when(m == 4, F.concat(F.lit(" "), F.date_format(ts, "HH:mm:ss")))
             .when(m == 7, F.date_format(ts, "HH:mm"))
             .otherwise(F.date_format(ts, "HH:mm:ss")))
+    return fecha, hora
+
+
+def split_times(events: DataFrame) -> DataFrame:
+    """Date and time text of every event, with one variant per event_id % 10:
+    0 empty time, 1 unpadded fields, 2 fractional seconds, 3 hour 24,
+    4 doubled blank, 5 NULL date, 6 Feb 30, 7 no seconds, 8-9 plain."""
+    fecha, hora = _time_texts(F.col("event_id"), F.col("ts"))
     return events.select("event_id", "user_id", "event_type", "ts", fecha.alias("fecha"), hora.alias("hora"))
 
 
@@ -326,17 +331,17 @@ def _object(*pairs: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
 
 
-def movement_json(times: DataFrame) -> Column:
-    e, u = F.col("event_id"), F.col("user_id")
+def movement_json(e: Column, u: Column, event_type: Column, ts: Column) -> Column:
+    fecha, hora = _time_texts(e, ts)
     return _object(
         _field("secuencia", _s(e)),
-        _field("codigo", _jstr(F.col("event_type"))),
-        _field("estado", _jstr(F.concat(F.lit("E-"), F.col("event_type")))),
+        _field("codigo", _jstr(event_type)),
+        _field("estado", _jstr(F.concat(F.lit("E-"), event_type))),
         _field("sub_estado", _jstr(F.concat(F.lit("S"), _s(e % 4))), missing=(e % 3 == 0)),
         _field("detalle_estado", F.when(e % 5 == 0, F.lit("null"))
-               .otherwise(_jstr(F.concat(F.lit("detail "), F.col("event_type"))))),
-        _field("fecha", _jstr(F.col("fecha"))),
-        _field("hora", _jstr(F.col("hora"))),
+               .otherwise(_jstr(F.concat(F.lit("detail "), event_type)))),
+        _field("fecha", _jstr(fecha)),
+        _field("hora", _jstr(hora)),
         _field("apuntes", _jstr(F.concat(F.lit("note "), _s(u % 13)))),
         _field("dir_agencia", _jstr(F.concat(F.lit("Av "), _s(u % 9))), missing=(e % 4 == 1)),
         _field("n_visita", _s(1 + e % 3)),
@@ -347,12 +352,16 @@ def movement_pages(events: DataFrame) -> DataFrame:
     """Movement arrays per (customer, page of PAGE_EVENTS event ids): the
     group behind one landed document is bounded by PAGE_EVENTS rows whatever
     the customer's share of events."""
-    t = split_times(events)
-    t = t.select("user_id", "event_id", F.expr(f"event_id div {PAGE_EVENTS}").alias("page"),
-                 movement_json(t).alias("mv"))
-    pages = t.groupBy("user_id", "page").agg(
-        F.sort_array(F.collect_list(F.struct("event_id", "mv"))).alias("items"))
-    return pages.select("user_id", "page",
+    # The group moves the columns behind a movement; its JSON text is made there.
+    pages = events.groupBy("user_id", F.expr(f"event_id div {PAGE_EVENTS}").alias("page")).agg(
+        F.collect_list(F.struct("event_id", "event_type", "ts")).alias("items"))
+
+    def item(e: Column) -> Column:
+        return F.struct(e["event_id"].alias("event_id"),
+                        movement_json(e["event_id"], F.col("user_id"), e["event_type"], e["ts"]).alias("mv"))
+
+    items = pages.select("user_id", "page", F.sort_array(F.transform("items", item)).alias("items"))
+    return items.select("user_id", "page",
                         F.concat(F.lit("["), F.array_join(F.col("items.mv"), ", "), F.lit("]")).alias("movements"))
 
 
@@ -429,9 +438,9 @@ def land_documents(spark: SparkSession, customer: DataFrame, events: DataFrame,
     response: ``guia, page, http_status, body`` plus the body parsed once
     into the VARIANT ``doc``) below the checkpoint folder; returns the path."""
     root = root or scratch_path(spark, "documents")
-    # Hash on (key, page): the pages of a hot key spread over several files.
-    parse_documents(tracking_documents(customer, events)) \
-        .repartition(landing_files(spark), "guia", "page").write.mode("overwrite").parquet(root)
+    # Hash on (key, page): the pages of a hot key spread over several files. Parsed
+    # behind the shuffle, which moves the bodies alone.
+    parse_documents(tracking_documents(customer, events).repartition(landing_files(spark), "guia", "page")).write.mode("overwrite").parquet(root)
     return root
 
 

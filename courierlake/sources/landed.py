@@ -269,7 +269,11 @@ def land_by_key(docs: DataFrame, table: str, path: str, key: str = "guia",
     bucket. The planner gives buckets up that are fewer than a shuffle's
     partitions, hence the default of that number; more make smaller tasks."""
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs.repartition(buckets, F.col(q(key))).write.format("parquet").mode("overwrite") \
+    rows = docs.repartition(buckets, F.col(q(key)))
+    if {"body", "doc", "doc_keys"} <= set(docs.columns):
+        # Parsed again behind the shuffle, which moves the bodies alone.
+        rows = parse_documents(docs.drop("doc", "doc_keys").repartition(buckets, F.col(q(key)))).select(*docs.columns)
+    rows.write.format("parquet").mode("overwrite") \
         .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
     return table
 

@@ -123,3 +123,11 @@ def test_lookup_moves_no_documents(spark, tmp_path):
         at = len(line) - len(line.lstrip(" :+-"))
         depth = {k: v for k, v in depth.items() if k < at} | {at: line}
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_movements_are_grouped_before_their_text_is_made(spark):
+    from courierlake import fixtures as fx
+
+    plan = fx.movement_pages(fx.load(spark, SF_SMALL, "events"))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "secuencia" in above and "secuencia" not in below
