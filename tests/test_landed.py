@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from courierlake.sources.landed import (gate_dated, gate_documents, lookup_documents, parse_documents,
                                         read_dated_json, select_keys)
-from tests.conftest import SF_SMALL, rows
+from tests.conftest import SF_SMALL, explain, rows
 
 ITEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("o", T.StructType([
     T.StructField("x", T.StringType())]))])
@@ -128,6 +128,12 @@ def test_lookup_moves_no_documents(spark, tmp_path):
 def test_movements_are_grouped_before_their_text_is_made(spark):
     from courierlake import fixtures as fx
 
-    plan = fx.movement_pages(fx.load(spark, SF_SMALL, "events"))._jdf.queryExecution().executedPlan().toString()
-    above, below = plan.split("Exchange", 1)
-    assert "secuencia" in above and "secuencia" not in below
+    steps = explain(fx.movement_pages(fx.load(spark, SF_SMALL, "events"))).split("\n(1) ", 1)[1]  # from the scan on
+    before, after = steps.split("Exchange", 1)
+    assert "secuencia" not in before and "secuencia" in after
+
+
+def test_a_page_is_parsed_once(spark):
+    raw = spark.read.schema("planned_date date, http_status int, body string").parquet(f"{SF_SMALL}/orders.parquet")
+    plan = read_dated_json(raw, ITEM, keep=["planned_date"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") == 1
