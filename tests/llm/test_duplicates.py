@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -179,6 +180,42 @@ def test_common_short_runs_do_not_meet_in_pairs(spark, monkeypatch):
     assert sizes["open"] <= 30 * len(rows)
 
 
+def test_steps_of_passages_leave_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        names = (x.rsplit("/", 1)[-1] for x in manager.getAllFiles().mkString("\n").splitlines())
+        return {x for x in names if x.startswith("shuffle_")}
+
+    rows = [(i, prose(8000 + i // 2, 200, 10 ** 6)) for i in range(20)]
+    before = files()
+    out = chains.passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {x.split("_")[1] for x in files() - before}
+    assert len(left) <= 2, left  # before: of each of the steps; looking for repeated rows is no write
+    assert {(r.doc_id, r.ref_doc_id) for r in out.collect()} == {(i + 1, i) for i in range(0, 20, 2)}
+
+
+def test_pairs_of_seeds_with_other_partners_are_left_out():
+    pos, seed = np.array([0, 20, 40, 60]), np.array([11, 12, 13, 14])
+    def keys(partner):
+        return [(int(a[k]), int(b[k])) for _, a, b in chains._pairs(pos, seed, 13, 113, partner) for k in range(len(a))]
+    assert len(keys(None)) == 6
+    assert keys(np.array([5, 5, 6, 0])) == [(0, 20), (0, 60), (20, 60), (40, 60)]
+
+
+def test_repeated_words_meet_in_proportion_to_their_number():
+    """Two stretches of one word: 2,000 times 1,500 matches before."""
+    own = np.arange(2000), np.full(2000, 7)
+    ref = np.arange(1502), np.concatenate(([3], np.full(1500, 7), [7]))[:1502]
+    a, b = chains._met(*own, chains._sorted_seeds(*ref))
+    assert len(a) <= 2 * 1502 and (np.diff(a) >= 0).all()
+    path = max(chains._paths(a.tolist(), b.tolist(), 18), key=lambda x: len(x[0]))
+    assert len(path[0]) == 1501
+    other = np.array([0, 4, 9, 30]), np.array([1, 2, 1, 9])
+    assert sorted(zip(*(x.tolist() for x in chains._met(*other, chains._sorted_seeds(*other))))) == [
+        (0, 0), (0, 9), (4, 4), (9, 0), (9, 9), (30, 30)]
+
+
 def test_seeds_across_chunks_and_repeated_rows(spark, monkeypatch):
     words = prose(78, 300, 50).encode().split()
     whole = [x.tolist() for x in chains.seeds(words)]
