@@ -1,8 +1,11 @@
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courierlake import fixtures as fx
+from courierlake.session import set_for_a_while
 from courierlake.sources.landed import (gate_dated, gate_documents, lookup_documents, parse_documents,
                                         read_dated_json, select_keys)
 from tests.conftest import SF_SMALL, explain, rows
@@ -137,3 +140,39 @@ def test_a_page_is_parsed_once(spark):
     raw = spark.read.schema("planned_date date, http_status int, body string").parquet(f"{SF_SMALL}/orders.parquet")
     plan = read_dated_json(raw, ITEM, keep=["planned_date"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parse_json") + plan.count("parseJson") == 1
+
+
+def test_routing_pages_are_written_behind_one_exchange(spark, tmp_path):
+    """The rows of a page move as columns, once, and leave no shuffle files; null and repeated keys stay as they were."""
+    day = [dt.datetime(1998, 1, 2 + i % 3) if i % 7 else None for i in range(300)]
+    customer = spark.createDataFrame([(i, f"C{i}", "AUTO", 1.5) for i in [*range(250), 7, None]],
+                                     "c_custkey long, c_name string, c_mktsegment string, c_acctbal double")
+    orders = spark.createDataFrame([(k, i % 90, "F", 10.5, day[i], "1-URGENT") for i, k in enumerate([*range(297), 5, 5, None])],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    lineitem = spark.createDataFrame([(None if i % 40 == 0 else i % 310, i, i % 10, i % 4 + 1, 2.0, 3.5, 0.1, 0.2, "R", "F", day[1]) for i in range(900)],
+                                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    with set_for_a_while(spark, fx.ROWS_AS_DEALT | {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plans = {k: explain(v, "simple") for k, v in fx.routing_pages(customer, orders, lineitem, 8).items()}
+    assert {k: v.count("Exchange") for k, v in plans.items()} == {"vehicles": 2, "routes": 1, "visits": 2}
+    assert all("ObjectHashAggregate" not in v and v.count("REPARTITION_BY_NUM") == v.count("Exchange") for v in plans.values())
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {x for x in manager.getAllFiles().mkString("\n").splitlines() if x.rsplit("/", 1)[-1].startswith("shuffle_")}
+
+    before = files()
+    pages = spark.read.parquet(fx.land_routing_pages(spark, customer, orders, lineitem, str(tmp_path / "pages")))
+    assert not files() - before
+    assert set(pages.columns) == {"endpoint", "planned_date", "http_status", "body"}
+    raw = {"vehicles": (fx.vehicles_raw(customer), F.date_add(F.lit("1998-01-01").cast("date"), F.col("fetch_day")), "id"),
+           "routes": (fx.routes_raw(orders).drop("copy_no"), F.col("planned_date"), "id"),
+           "visits": (fx.visits_raw(lineitem, orders), F.col("planned_date"), "route")}
+    for endpoint, (df, of, key) in raw.items():
+        want = df.select(of.alias("day"), F.expr(f"{key} div 100").alias("block"), F.to_json(F.struct("*")).alias("obj"))
+        want = Counter((day, tuple(sorted(objs))) for day, objs in want.groupBy("day", "block").agg(F.collect_list("obj")).select("day", "collect_list(obj)").collect())
+        got = pages.where((F.col("endpoint") == endpoint) & (F.col("http_status") == 200) & F.col("body").startswith("[{")
+                          & F.col("body").endswith("]") & ~F.col("body").contains('"stray"'))
+        assert Counter((r.planned_date, tuple(sorted(r.body[1:-1].replace("}, {", "}\n{").split("\n")))) for r in got.collect()) == want
+    assert pages.where(F.col("body").contains('"stray"')).count() == 5 * 25 and pages.where("body = '[]'").count() == 25
