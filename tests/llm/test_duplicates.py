@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from courierlake.llm import chains, neardup, sql, suffixes
 from courierlake.llm.graph import components
@@ -291,3 +292,47 @@ def test_passages_whose_pairs_of_seeds_stand_in_earlier_documents(spark):
     rows = [(i, " ".join([prose(3000 + i, 70, 10 ** 6), *body, prose(6000 + i, 70, 10 ** 6)])) for i, body in bodies.items()]
     out = chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [(r.doc_id, r.ref_doc_id, r.start, r.end, r.ref_start, r.ref_end) for r in out] == [(2000, 1000, 70, 150, 70, 150)]
+
+
+def test_chains_of_many_pairs_side_by_side():
+    """Those of the recurrence of each pair alone, equal links and long ones too."""
+    rng = random.Random(6)
+    pairs = []
+    for k in range(120):
+        wide = 12 if k % 3 else 200
+        points = sorted({(rng.randrange(wide), rng.randrange(wide)) for _ in range(300 if k % 40 == 0 else rng.randrange(2, 40))})
+        pairs.append((np.array([p for p, _ in points]), np.array([r for _, r in points])))
+    want = [chains._outer(chains._paths(p.tolist(), r.tolist(), 18)) for p, r in pairs]
+    assert any(want) and chains._many_paths(pairs, 18) == want
+
+
+def test_documents_that_meet_in_blocks_move_with_the_root_of_their_pairs(spark, monkeypatch):
+    """80 rows against 80: 6,400 pairs. Before, each pair carried the seeds of both."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(chains, "BLOCK_PAIRS", 400)
+    pairs = spark.createDataFrame([(i, j) for i in range(80) for j in range(100, 180)], "row long, ref long")
+    rows = spark.createDataFrame([(i, [i] * 3) for i in range(81)], "row long, pos array<int>")
+    refs = spark.createDataFrame([(j, [j] * 3) for j in range(100, 181)], "ref long, ref_pos array<int>")
+
+    def work(left, right):
+        held = set(right.column("ref").to_pylist())
+        met = [(row, x["ref"]) for row, of in zip(left.column("row").to_pylist(), left.column("of").to_pylist()) for x in of]
+        assert {ref for _, ref in met} == held
+        return pa.table({"n": [left.num_rows + right.num_rows] + [0] * len(met), "row": [-1] + [r for r, _ in met], "ref": [-1] + [r for _, r in met]})
+
+    out = chains._in_blocks(pairs, rows, refs, work, "n long, row long, ref long", F.size("pos"), F.size("ref_pos")).collect()
+    met = [(r.row, r.ref) for r in out if r.row >= 0]
+    assert len(met) == 6400 and set(met) == {(r.row, r.ref) for r in pairs.collect()}
+    assert sum(r.n for r in out) <= 4 * 160  # four lines of four blocks
+
+
+def test_common_words_are_counted_behind_equal_ends():
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = ([rng.choice([b"x", b"y", b"z"]) for _ in range(rng.randrange(9))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert chains._common(a, b) == table[-1][-1]
